@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quernix.llm.leaks import find_leaks, remove_leaked
 from quernix.llm.packing import pack
+from quernix.llm.subjects import document_subjects
 from quernix.llm.tokenize import encode, token_counts
 from quernix.runtime import stage, table
 
@@ -46,5 +47,18 @@ def p7_containers(spark: SparkSession, sf: str) -> DataFrame:
     return pack(sizes, "doc_id", "n_tokens", CONTAINER_TOKENS)
 
 
-QUERIES = {"p1_found": p1_found, "p1_matches": p1_matches, "p1_clean": p1_clean, "p6_ids": p6_ids, "p7_containers": p7_containers}
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return document_subjects(table(spark, sf, "documents"), table(spark, sf, "subject_areas"), table(spark, sf, "doc_labels"))
+
+
+def p8_composition(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents and words by subject; a document of several subjects counts in each by an equal part."""
+    found = stage(p8_found(spark, sf), "subjects")
+    parts = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k"))
+    docs = table(spark, sf, "documents").select("doc_id", F.coalesce("n_chars", F.lit(0)).alias("chars"))
+    rows = found.join(parts, "doc_id").join(docs, "doc_id")
+    return rows.groupBy("subject").agg(F.count(F.lit(1)).alias("documents"), F.sum(1 / F.col("k")).alias("document_parts"), F.sum(F.col("chars") / F.col("k")).alias("chars"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_matches": p1_matches, "p1_clean": p1_clean, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found, "p8_composition": p8_composition}
 SQL: dict[str, str] = {}

@@ -2,7 +2,8 @@
 
 1. Every text becomes its sequence of words; document frequencies are counted over all documents, and the vocabulary
    is the `vocabulary` most frequent words that are not in more than `common` of all documents.
-2. Every document becomes a vector: tf-idf over the vocabulary, projected by random signs to `dims` and normalised.
+2. Every document becomes a vector: tf-idf over the vocabulary, words that seldom come twice in a text weighing less,
+   projected by random signs to `dims` and normalised.
 3. Bisecting k-means splits all documents, level by level: a pass sends down the tree, adds up both children of each
    leaf, and a leaf splits again until there are `leaves`.
 4. A leaf's mixture of subjects comes from the labelled documents in it, or near it where it has few. A word's mixture
@@ -38,9 +39,9 @@ _TWICE_ENCODED = re.compile("[ÃÂâ][\u0080-¿Œ-™]")
 class SubjectModel:
     vocabulary: int = 6000
     common: float = 0.1
-    least_df: int = 3
+    least_df: int = 5
     dims: int = 128
-    leaves: int = 64
+    leaves: int = 192
     rounds: int = 2
     least_leaf: int = 8
     label_sample: int = 20_000
@@ -48,7 +49,7 @@ class SubjectModel:
     least_lift: float = 2.2
     least_share: float = 0.35
     #: How much likelier than the next subject a term has to make its own.
-    least_lead: float = 1.6
+    least_lead: float = 2.2
     #: Share of a document's mentions that makes a subject a substantial part of it.
     substantial: float = 0.25
 
@@ -90,9 +91,12 @@ def _read_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        one = [np.unique(np.frombuffer(x, dtype=np.uint32)) for x in b.column(0).to_pylist()]
-        code, df = np.unique(np.concatenate(one) if one else np.zeros(0, np.uint32), return_counts=True)
-        yield pa.record_batch([pa.array(code.astype(np.int64)), pa.array(df.astype(np.int64))], names=["code", "df"])
+        flat, doc = _flat(b.column(0).to_pylist(), np.uint32)
+        flat = flat.astype(np.int64)
+        code, cf = np.unique(flat, return_counts=True)
+        once = np.unique(doc * np.int64(2**32) + flat) % 2**32
+        df = np.bincount(np.searchsorted(code, once), minlength=len(code))
+        yield pa.record_batch([pa.array(code), pa.array(df.astype(np.int64)), pa.array(cf.astype(np.int64))], names=["code", "df", "cf"])
 
 
 def _flat(blobs: list[bytes], dtype) -> tuple[np.ndarray, np.ndarray]:
@@ -306,15 +310,17 @@ def _term_matrix(rows: DataFrame, parts: int, size: int) -> np.ndarray:
     return out
 
 
-def discriminative(counts: np.ndarray, m: SubjectModel) -> np.ndarray:
-    """Subject of each term from its (subjects, terms) occurrences, -1 for terms of no subject."""
+def discriminative(counts: np.ndarray, m: SubjectModel, first: bool = False) -> np.ndarray:
+    """Subject of each term from its (subjects, terms) occurrences, -1 for terms of no subject. first: occurrences are
+    divided by leaves, where small subjects are mixed with large ones, so only lift counts.
+    """
     prior = counts.sum(axis=1) / max(counts.sum(), 1e-9)
     share = (counts + 0.5 * prior[:, None]) / (counts.sum(axis=0) + 0.5)
     lift = share / np.maximum(prior[:, None], 1e-9)
     top = np.argmax(lift, axis=0)
     at = np.arange(counts.shape[1])
     second = np.sort(lift, axis=0)[-2] if counts.shape[0] > 1 else np.zeros(counts.shape[1])
-    good = (lift[top, at] >= m.least_lift) & (share[top, at] >= m.least_share) & (lift[top, at] >= m.least_lead * second)
+    good = (lift[top, at] >= m.least_lift) & (first | (share[top, at] >= m.least_share)) & (lift[top, at] >= m.least_lead * second)
     return np.where(good, top, -1)
 
 
@@ -360,7 +366,7 @@ def document_subjects(docs: DataFrame, areas: DataFrame, labels: DataFrame, m: S
     full = docs.select("doc_id", "text").where(F.col("text").rlike(r"[^\s\p{Z}\p{C}]"))
     read = stage(full.mapInArrow(_read_words, f"doc_id {kind}, codes binary, words array<string>"), "words")
     n_docs = read.count()
-    df = read.select("codes").mapInArrow(_frequencies, "code bigint, df bigint").groupBy("code").agg(F.sum("df").alias("df")).where("code <> 0")
+    df = read.select("codes").mapInArrow(_frequencies, "code bigint, df bigint, cf bigint").groupBy("code").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf")).where("code <> 0")
     vocab = df.where((F.col("df") >= m.least_df) & (F.col("df") <= max(m.common * n_docs, m.least_df))).orderBy(F.desc("df"), "code").limit(m.vocabulary).toPandas()
     if not len(vocab):
         return spark.createDataFrame([], schema)
@@ -371,7 +377,9 @@ def document_subjects(docs: DataFrame, areas: DataFrame, labels: DataFrame, m: S
     name_of = {r["code"]: r["word"] for r in known.join(F.broadcast(names), "code", "left_semi").collect()}
     rng = np.random.default_rng(7)
     signs = (rng.integers(0, 2, (len(codes), m.dims)) * 2 - 1).astype(np.float32) / np.float32(np.sqrt(m.dims))
-    space = _Space(codes, np.log(n_docs / vocab["df"].to_numpy()).astype(np.float32) + 0.1, signs)
+    # words of a matter come again in a text that has them, words of phrasing don't
+    burst = np.log(vocab["cf"].to_numpy() / vocab["df"].to_numpy()) ** 2 + 0.01
+    space = _Space(codes, (np.log(n_docs / vocab["df"].to_numpy() + 1) * burst).astype(np.float32), signs)
     vectors = stage(read.select("doc_id", "codes").mapInArrow(_to_vectors(space), f"doc_id {kind}, terms binary, vec binary"), "vectors")
 
     tree, _ = bisecting_kmeans(vectors.select("doc_id", "vec"), m.dims, m)
@@ -397,7 +405,7 @@ def document_subjects(docs: DataFrame, areas: DataFrame, labels: DataFrame, m: S
                 votes[:, place[subject_name(s)]] += 0.05 * in_leaf[:, term_at[w]] / max(in_leaf[:, term_at[w]].sum(), 1e-9) * len(leaf_of)
     mixture = votes / np.maximum(votes.sum(axis=1, keepdims=True), 1e-9)
     counts = mixture.T @ in_leaf
-    tag = discriminative(counts, m)
+    tag = discriminative(counts, m, first=True)
     for _ in range(2):
         rows = vectors.select("terms").mapInArrow(_subject_terms(tag, len(subjects)), "part bigint, term bigint, n double")
         tag = discriminative(_term_matrix(rows, len(subjects), len(codes)), m)
