@@ -68,6 +68,7 @@ _KEY = re.compile(r'"\w+"\s*:')
 _COMMAND = re.compile(r"\$\(|&&|\|\s*\w+ |\s--?\w+[= ]\S|\s-\w\b|;\s*(?:echo|do|done)\b|>\s*/|^\s*(?:\$|#|for|while|cd|cat|echo|ls|grep|sed|awk)\s")
 _BULLET = re.compile(r"^\s*(?:[-*•+]|\d+[.)])\s+")
 _CUT_PATH = re.compile(r"(?:/[\w/-]+|\b\w+_\d+)\.$")
+_BROKEN_COMMAND = re.compile(r"(?:[|&>=/\\$(]|\s-+|\bdo)$")
 _BROKEN_END = re.compile(r"[,;:(\[{«=&|\\-]$")
 _SENTENCES = re.compile(r"[.!?\n]+")
 _TOKEN = re.compile(r"([^\W_]+)|([.!?…][\"'»”)*]*(?=\s|\Z)|\n)")
@@ -267,6 +268,8 @@ def loose_end(answer: str) -> tuple[bool, str | None]:
     last = text.rsplit("\n", 1)[-1]
     if _BROKEN_END.search(text) and not _COMMAND.search(last):
         return True, None
+    if _COMMAND.search(last) and not _BULLET.match(last) and _BROKEN_COMMAND.search(last):
+        return True, None
     if text[-1] in ".!?…\"'”»`)}]":
         return bool(text[-1] == "." and _CUT_PATH.search(text)), None
     if _COMMAND.search(last) and not _BULLET.match(last):

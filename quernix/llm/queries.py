@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quernix.llm.leaks import find_leaks, remove_leaked
 from quernix.llm.packing import pack
+from quernix.llm.pairs import defective_pairs
 from quernix.llm.subjects import document_subjects
 from quernix.llm.tokenize import encode, token_counts
 from quernix.runtime import stage, table
@@ -38,6 +39,10 @@ def p1_clean(spark: SparkSession, sf: str) -> DataFrame:
     return remove_leaked(docs, _leaks(spark, sf).where("corpus = 'documents'"))
 
 
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    return defective_pairs(table(spark, sf, "chat_source"), "trial_name", "conversations")
+
+
 def p6_ids(spark: SparkSession, sf: str) -> DataFrame:
     return encode(table(spark, sf, "documents"), "doc_id", F.col("text"))
 
@@ -60,5 +65,5 @@ def p8_composition(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("subject").agg(F.count(F.lit(1)).alias("documents"), F.sum(1 / F.col("k")).alias("document_parts"), F.sum(F.col("chars") / F.col("k")).alias("chars"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_matches": p1_matches, "p1_clean": p1_clean, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found, "p8_composition": p8_composition}
+QUERIES = {"p1_found": p1_found, "p1_matches": p1_matches, "p1_clean": p1_clean, "p3_found": p3_found, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found, "p8_composition": p8_composition}
 SQL: dict[str, str] = {}
