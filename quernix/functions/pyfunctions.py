@@ -10,8 +10,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 REQUIRED_KEYS = ("analysis", "plan", "commands")
+_NORMALIZED = T.StructType([T.StructField("canonical", T.StringType()), T.StructField("rewritten", T.BooleanType()), T.StructField("reason", T.StringType())])
 _FENCED = re.compile(r"```(?:json|JSON)?\s*(\{.*?\})\s*```", re.DOTALL)
 _QUOTED_OR_BRACE = re.compile(r'"(?:[^"\\]|\\.)*"?|[{}]', re.DOTALL)
 
@@ -70,22 +72,22 @@ def keystrokes(canonical: str | None) -> list[str]:
     return [str(c.get("keystrokes", "")) for c in commands or [] if isinstance(c, dict)]
 
 
-@F.pandas_udf("struct<canonical: string, rewritten: boolean, reason: string>")
+@F.pandas_udf(_NORMALIZED)
 def normalize_response_udf(raw: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([normalize_response(x) for x in raw], columns=["canonical", "rewritten", "reason"])
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def keystrokes_udf(canonical: pd.Series) -> pd.Series:
     return canonical.map(keystrokes)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def balanced_objects_udf(text: pd.Series) -> pd.Series:
     return text.map(lambda x: balanced_objects(x or ""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def content_hash_udf(messages: pd.Series) -> pd.Series:
     """SHA-256 of the messages as JSON with sorted keys."""
 
@@ -127,7 +129,7 @@ def token_mask(length: int, spans: list[tuple[int, int]], offsets: list[tuple[in
     return [int(e > s and upto[e] > upto[s]) for s, e in offsets]
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(T.LongType())
 def trained_chars_udf(rendered: pd.Series, turns: pd.Series) -> pd.Series:
     """Number of trained characters of a render with that many assistant turns, by spans."""
     return pd.Series([sum(token_mask(len(r), trained_spans(r, [True] * int(n)), [(k, k + 1) for k in range(len(r))])) for r, n in zip(rendered, turns, strict=True)])
