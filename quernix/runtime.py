@@ -53,12 +53,18 @@ def shared_folder(spark: SparkSession) -> str:
     return "file://" + _own_folder[app]
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, removed at the end of the application."""
+    path = f"{shared_folder(spark)}/quernix-{label}-{uuid.uuid4().hex[:12]}"
+    _staged.append(path)
+    return path
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Writes df as a table into the shared folder and reads it back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/quernix-{label}-{uuid.uuid4().hex[:12]}"
+    path = scratch(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -5,14 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+_SIMPLE = {"string": T.StringType(), "boolean": T.BooleanType(), "double": T.DoubleType(), "int": T.IntegerType()}
+
+
+def _columns(text: str) -> T.StructType:
+    return T.StructType([T.StructField(name, _SIMPLE[kind]) for name, kind in (x.split() for x in text.split(","))])
+
+
 MESSAGES = T.ArrayType(T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())]))
-TRAJECTORIES = T.StructType.fromDDL(
+TRAJECTORIES = _columns(
     "trajectory_id string, task_group_id string, model_name string, status string, has_trajectory boolean, has_exception boolean, reward double, task_present_in_task_dataset boolean, shard string, member_prefix string"
 )
-TASKS = T.StructType.fromDDL("task_id string, task_group_id string, validation_status string, instruction string, dockerfile string, task_content_sha256 string, shard string, member_prefix string")
-ATTEMPTS = T.StructType.fromDDL("benchmark string, run int, task_id string, reward double, infra_reason string, budget_reason string, seconds double, returncode int")
-PAIR_LOGPS = T.StructType.fromDDL("pair_id string, split string, chosen_ref_logp double, rejected_ref_logp double, chosen_ref_n int, rejected_ref_n int")
-TRAJECTORY_RECORD = T.StructType.fromDDL("steps array<struct<source: string, message: string, observation: struct<results: array<struct<content: string>>>>>")
+TASKS = _columns("task_id string, task_group_id string, validation_status string, instruction string, dockerfile string, task_content_sha256 string, shard string, member_prefix string")
+ATTEMPTS = _columns("benchmark string, run int, task_id string, reward double, infra_reason string, budget_reason string, seconds double, returncode int")
+PAIR_LOGPS = _columns("pair_id string, split string, chosen_ref_logp double, rejected_ref_logp double, chosen_ref_n int, rejected_ref_n int")
+_OBSERVATION = T.StructType([T.StructField("results", T.ArrayType(_columns("content string")))])
+TRAJECTORY_RECORD = T.StructType([T.StructField("steps", T.ArrayType(T.StructType([*_columns("source string, message string").fields, T.StructField("observation", _OBSERVATION)])))])
 
 
 def require_columns(df: DataFrame, schema: T.StructType) -> DataFrame:

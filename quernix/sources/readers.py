@@ -7,16 +7,20 @@ import io
 import json
 import tarfile
 from collections.abc import Iterator
-from pathlib import PurePosixPath
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quernix.functions import text as X
 
 
+def _utf8(c: str) -> Column:
+    """Bytes as text, those that are no UTF-8 replaced."""
+    return F.make_valid_utf8(F.col(c).cast("string"))
+
+
 def parquet_parts(spark: SparkSession, paths: list[str], schema: T.StructType | None = None) -> DataFrame:
     """Several files as one table with file, the name each row came from."""
     reader = spark.read.schema(schema) if schema else spark.read
@@ -43,30 +47,29 @@ def tagged_union(parts: dict[str, DataFrame]) -> DataFrame:
 _TAR_SCHEMA = "shard string, member string, content binary"
 
 
-def _members(pdf: pd.DataFrame, wanted: set[str] | None, suffix: str, prefixes: bool) -> Iterator[tuple[str, str, bytes]]:
+def _members(pdf: pd.DataFrame, suffix: str) -> Iterator[tuple[str, str, bytes]]:
     for shard, content in zip(pdf["path"], pdf["content"], strict=True):
         with tarfile.open(fileobj=io.BytesIO(content)) as tar:
             for m in tar:
-                if not m.isfile():
-                    continue
-                if wanted is not None:
-                    hit = any(str(p) in wanted for p in [PurePosixPath(m.name), *PurePosixPath(m.name).parents]) if prefixes else m.name in wanted
-                    if not hit:
-                        continue
-                if suffix and not m.name.endswith(suffix):
+                if not m.isfile() or not m.name.endswith(suffix):
                     continue
                 yield shard.rsplit("/", 1)[-1], m.name, tar.extractfile(m).read()
 
 
-def tar_members(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
-    """(shard, member, content) of the files in tar archives. An archive is the unit of work."""
+def expand_tars(archives: DataFrame, suffix: str = "") -> DataFrame:
+    """(shard, member, content) of the files in archives (path, content). An archive is the unit of work."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for row in _members(pdf, None, suffix, False):
+            for row in _members(pdf, suffix):
                 yield pd.DataFrame([row], columns=["shard", "member", "content"])
 
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.tar").load(path).select("path", "content").mapInPandas(run, _TAR_SCHEMA)
+    return archives.select("path", "content").mapInPandas(run, _TAR_SCHEMA)
+
+
+def tar_members(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
+    """expand_tars of the archives in a folder."""
+    return expand_tars(spark.read.format("binaryFile").option("pathGlobFilter", "*.tar").load(path), suffix)
 
 
 def wanted_members(members: DataFrame, wanted: DataFrame, name: str = "trajectory.json") -> DataFrame:
@@ -93,12 +96,12 @@ def under_prefix(members: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def trajectory_steps(members: DataFrame, schema: T.DataType) -> DataFrame:
     """Members with record, their JSON document read by schema; null where it is none."""
-    return members.withColumn("record", F.from_json(F.decode("content", "utf-8"), schema, {"mode": "PERMISSIVE", "allowUnquotedControlChars": "true"}))
+    return members.withColumn("record", F.from_json(_utf8("content"), schema, {"mode": "PERMISSIVE", "allowUnquotedControlChars": "true"}))
 
 
 def json_documents(spark: SparkSession, path: str) -> DataFrame:
     """(path, document) with the text of each file as a variant, null for what isn't JSON or can't be read."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     return raw.select(F.col("_metadata.file_path").alias("path"), F.try_parse_json("value").alias("document"))
 
 
@@ -110,7 +113,7 @@ def json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> Da
 def log_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(file, line_no, text) of text files, undecodable bytes replaced. A file is numbered where it is read."""
     raw = spark.read.format("binaryFile").load(paths)
-    lines = F.split(F.decode("content", "utf-8"), r"\r\n|\n|\r")
+    lines = F.split(_utf8("content"), r"\r\n|\n|\r")
     return raw.select(F.col("path").alias("file"), F.posexplode(lines).alias("line_no", "text"))
 
 
@@ -138,7 +141,7 @@ def result_documents(spark: SparkSession, job: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "result.json").load(job)
     rel = F.regexp_extract("path", rf"{job.rstrip('/').replace('file://', '')}/(.*)$", 1)
     layout = rel.rlike(r"^(?:trials/[^/]+/|[^/]+/)?result\.json$")
-    return files.where(layout).select("path", F.decode("content", "utf-8").alias("payload")).distinct().orderBy("path")
+    return files.where(layout).select("path", _utf8("content").alias("payload")).distinct().orderBy("path")
 
 
 def task_folders(spark: SparkSession, root: str) -> DataFrame:
