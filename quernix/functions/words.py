@@ -10,16 +10,22 @@ import numpy as np
 import xxhash
 
 _FORMAT = {c: None for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Cf"}
+_HAS_FORMAT = re.compile("[" + "".join(map(chr, _FORMAT)) + "]")
 _WORD = re.compile(r"[^\W_]+")
 _CACHE_LIMIT = 1_000_000
 
 
+def _compatible(text: str) -> str:
+    return text if unicodedata.is_normalized("NFKC", text) else unicodedata.normalize("NFKC", text)
+
+
 def fold(text: str) -> str:
     """Lower-cased compatibility form of text without format characters."""
     if text.isascii():
         return text.lower()
-    text = unicodedata.normalize("NFKC", text.translate(_FORMAT)).casefold()
-    return unicodedata.normalize("NFKC", text)
+    if _HAS_FORMAT.search(text):
+        text = text.translate(_FORMAT)
+    return _compatible(_compatible(text).casefold())
 
 
 def words(text: str) -> list[str]:
