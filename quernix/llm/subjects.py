@@ -79,12 +79,17 @@ def _read_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes, fresh = [], []
         for t in b.column(1).to_pylist():
             ws, new = text_words(t), []
-            for w in ws:
-                if w not in known:
-                    known[w] = xxhash.xxh32_intdigest(w)
-                    if len(w) > 2:
-                        new.append(w)
-            codes.append(np.array([known[w] if len(w) > 2 else 0 for w in ws], dtype=np.uint32).tobytes())
+            try:
+                row = [known[w] for w in ws]
+            except KeyError:
+                for w in ws:
+                    if w not in known:
+                        # short words are gaps between others
+                        known[w] = xxhash.xxh32_intdigest(w) if len(w) > 2 else 0
+                        if len(w) > 2:
+                            new.append(w)
+                row = [known[w] for w in ws]
+            codes.append(np.array(row, dtype=np.uint32).tobytes())
             fresh.append(new)
         yield pa.record_batch([b.column(0), pa.array(codes, pa.binary()), pa.array(fresh, pa.list_(pa.string()))], names=["doc_id", "codes", "words"])
 
