@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import io
 import os
 import shutil
 import tempfile
@@ -73,24 +74,45 @@ def _drop_staged() -> None:
         parts = urlparse(path)
         if parts.scheme in ("", "file"):
             shutil.rmtree(parts.path, ignore_errors=True)
+            if os.path.isfile(parts.path):
+                os.remove(parts.path)
 
 
 atexit.register(_drop_staged)
 
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes all staged tables, on any file system; what was read from them must not be used any more."""
+    while _staged:
+        fs, p = _hadoop_path(spark, _staged.pop())
+        fs.delete(p, True)
+
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Hands this package to the executors once per application, so that functions sent there find it."""
+    """Hands this package to the executors once per application, by the shared folder, so that functions sent there
+    find it."""
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
     root = Path(__file__).resolve().parent
-    folder = tempfile.mkdtemp(prefix="quernix-zip-")
-    _staged.append(folder)
-    target = os.path.join(folder, "quernix_pkg.zip")
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as out:
         for p in sorted(root.rglob("*.py")):
             out.write(p, p.relative_to(root.parent))
+    target = scratch(spark, "package") + ".zip"
+    _staged.append(target)
+    fs, place = _hadoop_path(spark, target)
+    stream = fs.create(place, True)
+    try:
+        stream.write(bytearray(packed.getvalue()))
+    finally:
+        stream.close()
     spark.sparkContext.addPyFile(target)
     _shipped.add(app)
