@@ -28,6 +28,10 @@ def fold(text: str) -> str:
     return _compatible(_compatible(text).casefold())
 
 
+def split_words(folded: str) -> list[str]:
+    return _WORD.findall(folded)
+
+
 def words(text: str) -> list[str]:
     return _WORD.findall(fold(text))
 
