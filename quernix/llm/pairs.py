@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quernix.functions.words import fold, words
-from quernix.runtime import ship
+from quernix.functions.words import fold, split_words, words
+from quernix.runtime import ship, stage
 
 STAND_INS = frozenset(
     "null none nil nan na tbd tba todo nooutput nooutputs empty noanswer noresponse noreply undefined notavailable unknown missing blank novalue notapplicable nodata noresult nocontent keineantwort leer sansréponse vide sinrespuesta vacío".split()
@@ -63,7 +63,7 @@ _FENCE_LINE = re.compile(r"```\w*")
 _FENCED = re.compile(r"```.*?(?:```|\Z)", re.S)
 _INLINE = re.compile(r"`[^`\n]*`")
 _QUOTED = re.compile(r"«[^»]*»|„[^“]*“")
-_PATH = re.compile(r"\S*[/_\\]\S*|\b\w+\.\w{1,8}\b")
+_PATH = re.compile(r"(?<!\S)[^\s/_\\]*[/_\\]\S*|\b\w+\.\w{1,8}\b")
 _KEY = re.compile(r'"\w+"\s*:')
 _COMMAND = re.compile(r"\$\(|&&|\|\s*\w+ |\s--?\w+[= ]\S|\s-\w\b|;\s*(?:echo|do|done)\b|>\s*/|^\s*(?:\$|#|for|while|cd|cat|echo|ls|grep|sed|awk)\s")
 _BULLET = re.compile(r"^\s*(?:[-*•+]|\d+[.)])\s+")
@@ -149,16 +149,14 @@ def is_empty(answer: str) -> bool:
     return not core or core in STAND_INS
 
 
-def _plain(answer: str) -> str:
-    """Folded text without markup, typographic apostrophes and odd spacing, sentence marks and line ends kept."""
-    text = fold(answer).replace("’", "'").replace("`", "'")
-    text = re.sub(r"[*_#>\"]", " ", text)
-    return re.sub(r"[^\S\n]+", " ", text)
+_MARKUP = str.maketrans({"’": "'", "`": "'", "*": " ", "_": " ", "#": " ", ">": " ", '"': " "})
+_SPACING = re.compile(r"[^\S\n]{2,}|[^\S\n ]")
 
 
-def is_refusal(answer: str, refusals: ahocorasick.Automaton, courtesies: ahocorasick.Automaton) -> bool:
-    """Declines, and every sentence of it is part of declining or a courtesy."""
-    text = _plain(answer)
+def is_refusal(folded: str, refusals: ahocorasick.Automaton, courtesies: ahocorasick.Automaton) -> bool:
+    """Declines, and every sentence of it is part of declining or a courtesy. folded: the answer in folded form."""
+    # typographic apostrophes, markup and odd spacing don't count; sentence marks and line ends do
+    text = _SPACING.sub(" ", folded.translate(_MARKUP))
     if not next(refusals.iter(text), None):
         return False
     for sentence in _SENTENCES.split(text):
@@ -174,11 +172,16 @@ def is_refusal(answer: str, refusals: ahocorasick.Automaton, courtesies: ahocora
     return True
 
 
-def is_copy(question: str, answer: str, automaton: WordAutomaton, asked: list[str], said: list[str], hit: list[bool]) -> bool:
-    if not asked or not said:
+def is_copy(answer: str, asked: list[str], said: list[str]) -> bool:
+    """Nothing but the question again: copied runs make most of both, and no answer follows."""
+    if len(asked) < 3 or not said:
         return False
+    known = set(asked)
+    if sum(w in known for w in said) < 0.7 * len(said):
+        return False  # no run can cover more than the words in common
+    hit = WordAutomaton(asked).covered(said, 2)
     n = sum(hit)
-    if n < 0.7 * len(said) or n < 0.6 * len(asked) or len(asked) < 3:
+    if n < 0.7 * len(said) or n < 0.6 * len(asked):
         return False
     last = max(k for k, x in enumerate(hit) if x)
     after = len(said) - 1 - last
@@ -191,13 +194,19 @@ def is_copy(question: str, answer: str, automaton: WordAutomaton, asked: list[st
 
 
 def languages(text: str) -> Counter:
-    text = _FENCED.sub(" ", text)
-    lines = [x for x in text.split("\n") if not _COMMAND.search(x)]
-    text = _KEY.sub(" ", _PATH.sub(" ", _QUOTED.sub(" ", _INLINE.sub(" ", "\n".join(lines)))))
+    if "```" in text:
+        text = _FENCED.sub(" ", text)
+    text = "\n".join([x for x in text.split("\n") if not _COMMAND.search(x)])
+    if "`" in text:
+        text = _INLINE.sub(" ", text)
+    if "«" in text or "„" in text:
+        text = _QUOTED.sub(" ", text)
+    if '":' in text:
+        text = _KEY.sub(" ", text)
     votes: Counter = Counter()
-    for w in words(text):
-        for language in _VOTES.get(w, ()):
-            votes[language] += 1 / len(_VOTES[w])
+    for who in filter(None, map(_VOTES.get, words(_PATH.sub(" ", text)))):
+        for language in who:
+            votes[language] += 1 / len(who)
     return votes
 
 
@@ -218,12 +227,17 @@ def is_other_language(question: str, answer: str) -> bool:
     return not wanted & set(words(question))
 
 
+_CLOSES = {")": "(", "»": "«", "“": "„"}
+_BRACKETS = re.compile("[()«»„“]")
+
+
 def open_structure(answer: str) -> bool:
     """A code block, inline code, quote or bracketed structure that was begun and not ended."""
     text = answer.rstrip()
-    if text.count("```") % 2:
+    fences = text.count("```")
+    if fences % 2:
         return True
-    outside = _FENCED.sub(" ", text).strip()
+    outside = _FENCED.sub(" ", text).strip() if fences else text.strip()
     if outside[:1] in ("{", "[") and outside:
         try:
             json.loads(outside)
@@ -245,14 +259,14 @@ def open_structure(answer: str) -> bool:
     last = outside.rsplit("\n", 1)[-1]
     if last.count("`") % 2:
         return True
-    if _COMMAND.search(last):
+    found = _BRACKETS.findall(last)
+    if not found or _COMMAND.search(last):
         return False
     stack = []
-    pairs = {")": "(", "»": "«", "“": "„"}
-    for ch in last:
-        if ch in pairs.values():
+    for ch in found:
+        if ch not in _CLOSES:
             stack.append(ch)
-        elif ch in pairs and stack and stack[-1] == pairs[ch]:
+        elif stack and stack[-1] == _CLOSES[ch]:
             stack.pop()
     return bool(stack)
 
@@ -312,14 +326,12 @@ def _inspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 defect = "empty"
             else:
                 q = q or ""
-                asked, said = words(q), words(a)
-                automaton = WordAutomaton(asked)
-                hit = automaton.covered(said, 2)
-                if is_copy(q, a, automaton, asked, said, hit):
+                folded = fold(a)
+                if is_copy(a, words(q), split_words(folded)):
                     defect = "copy"
-                elif is_refusal(a, refusals, courtesies):
+                elif is_refusal(folded, refusals, courtesies):
                     defect = "refusal"
-                elif is_other_language(q, _without_copy(a, q)):
+                elif is_other_language(q, _without_copy(a, q) if fold(q[:24]) in folded else a):
                     defect = "other_language"
                 elif open_structure(a):
                     defect = "truncated"
@@ -361,7 +373,7 @@ def defective_pairs(df: DataFrame, id_col: str, turns: str) -> DataFrame:
     assistant message right after it, turn being the latter's place. At most one defect a pair.
 
     Defined cases: a null answer is empty; a null question can't be copied and has no language; null turns, ids and
-    roles make no pair; a repeated row counts once; rows of one id with different turns are judged each for itself; an
+    roles make no pair; a repeated row comes out once; rows of one id with different turns are judged each for itself; an
     empty table gives an empty one; where the table is too small to know the last words, an unpunctuated end of a list
     item counts as an end and that of a sentence doesn't.
     """
@@ -372,14 +384,14 @@ def defective_pairs(df: DataFrame, id_col: str, turns: str) -> DataFrame:
         .select(F.col(id_col).alias("trial_name"), F.col(turns).alias("m"))
         .select("trial_name", F.explode(F.expr("transform(filter(sequence(1, size(m) - 1), i -> m[i].role = 'assistant' AND m[i - 1].role = 'user'), i -> struct(CAST(i AS BIGINT) AS turn, m[i - 1].content AS question, m[i].content AS answer))")).alias("p"))
         .select("trial_name", "p.turn", "p.question", "p.answer")
-        .distinct()
     )
-    judged = pairs.mapInArrow(_inspect, f"trial_name {df.select(id_col).schema[0].dataType.simpleString()}, turn bigint, defect string, kind string, before string, word string")
+    # both are read twice below, and small against the texts
+    judged = stage(pairs.mapInArrow(_inspect, f"trial_name {df.select(id_col).schema[0].dataType.simpleString()}, turn bigint, defect string, kind string, before string, word string"), "judged")
     sure = judged.where("defect is not null").select("trial_name", "turn", "defect")
     loose = judged.where("defect is null and word is not null")
     ends = pairs.select("answer").mapInArrow(_count_ends, "before string, word string, ends boolean, n bigint")
-    pair_ends = ends.groupBy("before", "word").agg(F.sum(F.when(F.col("ends"), F.col("n")).otherwise(0)).alias("pe"), F.sum("n").alias("pn"))
-    word_ends = ends.groupBy("word").agg(F.sum(F.when(F.col("ends"), F.col("n")).otherwise(0)).alias("we"), F.sum("n").alias("wn"))
+    pair_ends = stage(ends.groupBy("before", "word").agg(F.sum(F.when(F.col("ends"), F.col("n")).otherwise(0)).alias("pe"), F.sum("n").alias("pn")), "ends")
+    word_ends = pair_ends.groupBy("word").agg(F.sum("pe").alias("we"), F.sum("pn").alias("wn"))
     told = loose.join(pair_ends, ["before", "word"], "left").join(word_ends, "word", "left")
     share = F.when(F.col("pn") >= 3, F.col("pe") / F.col("pn")).when(F.col("wn") >= 3, F.col("we") / F.col("wn")).otherwise(F.when(F.col("kind") == "b", 1.0).otherwise(0.0))
     cut = told.where(share < LEAST_END_SHARE).select("trial_name", "turn", F.lit("truncated").alias("defect"))
