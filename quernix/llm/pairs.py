@@ -65,13 +65,16 @@ _INLINE = re.compile(r"`[^`\n]*`")
 _QUOTED = re.compile(r"«[^»]*»|„[^“]*“")
 _PATH = re.compile(r"(?<!\S)[^\s/_\\]*[/_\\]\S*|\b\w+\.\w{1,8}\b")
 _KEY = re.compile(r'"\w+"\s*:')
-_COMMAND = re.compile(r"\$\(|&&|\|\s*\w+ |\s--?\w+[= ]\S|\s-\w\b|;\s*(?:echo|do|done)\b|>\s*/|^\s*(?:\$|#|for|while|cd|cat|echo|ls|grep|sed|awk)\s")
+_COMMAND = re.compile(r"\$\(|&&|\|\s*\w+ |\s--?\w+[= ]\S|\s-\w\b|;\s*(?:echo|do|done)\b|>\s*/|^[^\S\n]*(?:\$|#|for|while|cd|cat|echo|ls|grep|sed|awk)\s", re.M)
 _BULLET = re.compile(r"^\s*(?:[-*•+]|\d+[.)])\s+")
 _CUT_PATH = re.compile(r"(?:/[\w/-]+|\b\w+_\d+)\.$")
 _BROKEN_COMMAND = re.compile(r"(?:[|&>=/\\$(]|\s-+|\bdo)$")
 _BROKEN_END = re.compile(r"[,;:(\[{«=&|\\-]$")
 _SENTENCES = re.compile(r"[.!?\n]+")
-_TOKEN = re.compile(r"([^\W_]+)|([.!?…][\"'»”)*]*(?=\s|\Z)|\n)")
+_END = re.compile(r"[.!?…][\"'»”)*]*(?=\s|\Z)|\n")
+_DIGITS = re.compile(r"\d+")
+_PLAIN_START = re.compile(r"\s*[\w-]")
+_LETTERS = re.compile(r"[^\W\d_]{3,}")
 
 
 def _automaton(phrases: tuple[str, ...]) -> ahocorasick.Automaton:
@@ -132,6 +135,8 @@ class WordAutomaton:
 
 
 def is_empty(answer: str) -> bool:
+    if _PLAIN_START.match(answer) and "<" not in answer and len(_LETTERS.findall(answer, 0, 120)) > 3:
+        return False  # more words than any stand-in has, and no markup
     text = answer.strip()
     if text[:1] in "{[\"" and text:
         try:
@@ -196,20 +201,31 @@ def is_copy(answer: str, asked: list[str], said: list[str]) -> bool:
 def languages(text: str) -> Counter:
     if "```" in text:
         text = _FENCED.sub(" ", text)
-    text = "\n".join([x for x in text.split("\n") if not _COMMAND.search(x)])
+    if _COMMAND.search(text):
+        text = "\n".join([x for x in text.split("\n") if not _COMMAND.search(x)])
     if "`" in text:
         text = _INLINE.sub(" ", text)
     if "«" in text or "„" in text:
         text = _QUOTED.sub(" ", text)
     if '":' in text:
         text = _KEY.sub(" ", text)
+    return _votes(words(_PATH.sub(" ", text)))
+
+
+def _votes(ws: list[str]) -> Counter:
     votes: Counter = Counter()
-    for who in filter(None, map(_VOTES.get, words(_PATH.sub(" ", text)))):
+    for who in filter(None, map(_VOTES.get, ws)):
         for language in who:
             votes[language] += 1 / len(who)
     return votes
 
 
+def _clear(votes: Counter) -> str | None:
+    """Language that wins by so much that names and commands in the text can't have decided it."""
+    top = votes.most_common(2)
+    return top[0][0] if top and top[0][1] >= 3 and (len(top) == 1 or top[0][1] >= 4 * top[1][1]) else None
+
+
 def _winner(votes: Counter, sure: float) -> str | None:
     top = votes.most_common(2)
     if not top or top[0][1] < sure:
@@ -217,7 +233,9 @@ def _winner(votes: Counter, sure: float) -> str | None:
     return top[0][0] if len(top) == 1 or top[0][1] >= 1.5 * top[1][1] else None
 
 
-def is_other_language(question: str, answer: str) -> bool:
+def is_other_language(question: str, answer: str, asked_words: list[str], said_words: list[str]) -> bool:
+    if (clear := _clear(_votes(said_words))) and clear == _clear(_votes(asked_words)):
+        return False
     asked = _winner(languages(question), 2)
     votes = languages(answer)
     said = _winner(votes, 1 if len(words(answer)) <= 5 else 2)
@@ -289,31 +307,33 @@ def loose_end(answer: str) -> tuple[bool, str | None]:
     if _COMMAND.search(last) and not _BULLET.match(last):
         return False, None
     ws = _shape(words(last))
-    if len(words(text)) <= 1 or not ws:
+    if not ws or len(ws) == 1 and len(words(text)) == 1:
         return False, None
     kind = "b" if _BULLET.match(last) else "p"
     return False, f"{kind}\t{ws[-2] if len(ws) > 1 else ''}\t{ws[-1]}"
 
 
 def _shape(ws: list[str]) -> list[str]:
-    return [re.sub(r"\d+", "9", w) for w in ws]
+    return [_DIGITS.sub("9", w) for w in ws]
 
 
-def end_counts(answers: list[str]) -> Counter:
-    """(previous word, word) -> [times followed by an end of sentence or line, times] as two counters in one."""
-    out: Counter = Counter()
+def end_counts(answers: list[str]) -> tuple[Counter, Counter]:
+    """How often each (previous word, word) ends a sentence or line, and how often it occurs at all. The unpunctuated
+    end of a text itself counts as neither."""
+    ends: Counter = Counter()
+    every: Counter = Counter()
     for text in answers:
-        before, word = "", None
-        for m in _TOKEN.finditer(fold(text)):
-            if m.group(1) is not None:
-                if word is not None:
-                    out[before, word, False] += 1
-                    before = word
-                word = re.sub(r"\d+", "9", m.group(1))
-            elif word is not None:
-                out[before, word, True] += 1
-                before, word = "", None
-    return out
+        parts = _END.split(_DIGITS.sub("9", fold(text)))
+        for k, part in enumerate(parts):
+            ws = split_words(part)
+            if ws:
+                pairs = list(zip(["", *ws], ws, strict=False))
+                if k < len(parts) - 1:
+                    ends[pairs[-1]] += 1
+                else:
+                    pairs.pop()
+                every.update(pairs)
+    return ends, every
 
 
 def _inspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,11 +347,12 @@ def _inspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             else:
                 q = q or ""
                 folded = fold(a)
-                if is_copy(a, words(q), split_words(folded)):
+                asked, said = words(q), split_words(folded)
+                if is_copy(a, asked, said):
                     defect = "copy"
                 elif is_refusal(folded, refusals, courtesies):
                     defect = "refusal"
-                elif is_other_language(q, _without_copy(a, q) if fold(q[:24]) in folded else a):
+                elif _speaks_otherwise(q, a, folded, asked, said):
                     defect = "other_language"
                 elif open_structure(a):
                     defect = "truncated"
@@ -347,6 +368,13 @@ def _inspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _speaks_otherwise(question: str, answer: str, folded: str, asked: list[str], said: list[str]) -> bool:
+    if fold(question[:24]) in folded:
+        answer = _without_copy(answer, question)
+        said = words(answer)
+    return is_other_language(question, answer, asked, said)
+
+
 def _without_copy(answer: str, question: str) -> str:
     """The answer without lines that repeat the question."""
     asked = " ".join(words(question))
@@ -356,10 +384,10 @@ def _without_copy(answer: str, question: str) -> str:
 
 def _count_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        c = end_counts([x for x in b.column(0).to_pylist() if x is not None])
-        keys = list(c)
+        ends, every = end_counts([x for x in b.column(0).to_pylist() if x is not None])
+        keys = list(every)
         yield pa.record_batch(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([k[2] for k in keys], pa.bool_()), pa.array([c[k] for k in keys], pa.int64())],
+            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([ends[k] for k in keys], pa.int64()), pa.array(list(every.values()), pa.int64())],
             names=["before", "word", "ends", "n"],
         )
 
@@ -389,8 +417,8 @@ def defective_pairs(df: DataFrame, id_col: str, turns: str) -> DataFrame:
     judged = stage(pairs.mapInArrow(_inspect, f"trial_name {df.select(id_col).schema[0].dataType.simpleString()}, turn bigint, defect string, kind string, before string, word string"), "judged")
     sure = judged.where("defect is not null").select("trial_name", "turn", "defect")
     loose = judged.where("defect is null and word is not null")
-    ends = pairs.select("answer").mapInArrow(_count_ends, "before string, word string, ends boolean, n bigint")
-    pair_ends = stage(ends.groupBy("before", "word").agg(F.sum(F.when(F.col("ends"), F.col("n")).otherwise(0)).alias("pe"), F.sum("n").alias("pn")), "ends")
+    ends = pairs.select("answer").mapInArrow(_count_ends, "before string, word string, ends bigint, n bigint")
+    pair_ends = stage(ends.groupBy("before", "word").agg(F.sum("ends").alias("pe"), F.sum("n").alias("pn")), "ends")
     word_ends = pair_ends.groupBy("word").agg(F.sum("pe").alias("we"), F.sum("pn").alias("wn"))
     told = loose.join(pair_ends, ["before", "word"], "left").join(word_ends, "word", "left")
     share = F.when(F.col("pn") >= 3, F.col("pe") / F.col("pn")).when(F.col("wn") >= 3, F.col("we") / F.col("wn")).otherwise(F.when(F.col("kind") == "b", 1.0).otherwise(0.0))
