@@ -7,7 +7,7 @@
 3. Bisecting k-means splits all documents, level by level: a pass sends down the tree, adds up both children of each
    leaf, and a leaf splits again until there are `leaves`.
 4. A leaf's mixture of subjects comes from the labelled documents in it, or near it where it has few. A word's mixture
-   is that of the leaves it occurs in; words far more frequent in one subject than elsewhere are its discriminative
+   is that of the leaves it occurs in, together with that of the labelled documents that have it; words far more frequent in one subject than elsewhere are its discriminative
    terms, and these label the leaves. A second pass takes documents' own mixtures in place of their leaves' mixtures.
 5. A document's mixture is the share of its mentions of discriminative terms by subject; every subject with a
    substantial share is assigned. A document without such terms takes the subject of its leaf.
@@ -45,6 +45,8 @@ class SubjectModel:
     rounds: int = 2
     least_leaf: int = 8
     label_sample: int = 20_000
+    #: Labelled documents that a term's leaves count for.
+    leaf_weight: float = 4.0
     #: A discriminative term's share in its subject, against the subject's share of all mentions, and in itself.
     least_lift: float = 2.2
     least_share: float = 0.35
@@ -392,12 +394,16 @@ def document_subjects(docs: DataFrame, areas: DataFrame, labels: DataFrame, m: S
     in_leaf = _term_matrix(vectors.select("terms", "vec").mapInArrow(_leaf_terms(tree, len(codes)), "part bigint, term bigint, n double"), len(tree.centroids), len(codes))
 
     said = labels.select("doc_id", "subject").where("doc_id is not null and subject is not null").distinct()
-    said = said.join(vectors.select("doc_id", "vec"), "doc_id").orderBy(F.xxhash64("doc_id", "subject")).limit(m.label_sample).collect()
-    said = [(r["vec"], place[s]) for r in said if (s := subject_name(r["subject"])) in place]
+    said = said.join(vectors, "doc_id").orderBy(F.xxhash64("doc_id", "subject")).limit(m.label_sample).select("vec", "terms", "subject").collect()
+    said = [(r["vec"], r["terms"], place[s]) for r in said if (s := subject_name(r["subject"])) in place]
     votes = np.zeros((len(tree.centroids), len(subjects)))
+    labelled = np.zeros((len(subjects), len(codes)))
     if said:
-        x = _vectors_of([v for v, _ in said])
-        which = np.array([k for _, k in said])
+        x = _vectors_of([v for v, _, _ in said])
+        which = np.array([k for _, _, k in said])
+        for _, terms, k in said:
+            t = np.unique(np.frombuffer(terms, dtype=np.int16))
+            labelled[k, t[t >= 0]] += 1
         at = tree.descend(x)
         np.add.at(votes, (at, which), 1.0)
         near = np.maximum(x @ tree.centroids[leaf_of].T, 0) ** 6
@@ -409,7 +415,9 @@ def document_subjects(docs: DataFrame, areas: DataFrame, labels: DataFrame, m: S
             if w in term_at:
                 votes[:, place[subject_name(s)]] += 0.05 * in_leaf[:, term_at[w]] / max(in_leaf[:, term_at[w]].sum(), 1e-9) * len(leaf_of)
     mixture = votes / np.maximum(votes.sum(axis=1, keepdims=True), 1e-9)
-    counts = mixture.T @ in_leaf
+    by_leaf = mixture.T @ in_leaf
+    # where a leaf holds several subjects, labelled documents with the term tell them apart
+    counts = labelled + m.leaf_weight * by_leaf / np.maximum(by_leaf.sum(axis=0), 1e-9)
     tag = discriminative(counts, m, first=True)
     for _ in range(2):
         rows = vectors.select("terms").mapInArrow(_subject_terms(tag, len(subjects)), "part bigint, term bigint, n double")
