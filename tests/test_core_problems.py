@@ -149,3 +149,14 @@ def test_sure_distance_is_guaranteed():
         off = rng.choice(c.lanes, c.sure_distance, replace=False)
         b[0, off] += 1
         assert (chunk_keys(a, c) == chunk_keys(b, c)).any()
+
+
+def test_likely_rows_hold_all_wanted(spark):
+    from quernix.operators.skew import keep_likely
+
+    big = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("id"), F.lit("x").alias("__x"))
+    wanted = spark.range(0, 20_000, 50).select(F.concat(F.lit("k"), "id").alias("id")).unionByName(spark.createDataFrame([(None,), ("k0",)], "id string"))
+    got = keep_likely(big.unionByName(spark.createDataFrame([(None, "x")], "id string, __x string")), "id", wanted)
+    ids = {r.id for r in got.collect()}
+    assert got.columns == ["id", "__x"] and {r.id for r in wanted.collect() if r.id} <= ids and len(ids) < 4_000
+    assert keep_likely(big, "id", wanted.where("false")).count() == 0
