@@ -160,3 +160,15 @@ def test_likely_rows_hold_all_wanted(spark):
     ids = {r.id for r in got.collect()}
     assert got.columns == ["id", "__x"] and {r.id for r in wanted.collect() if r.id} <= ids and len(ids) < 4_000
     assert keep_likely(big, "id", wanted.where("false")).count() == 0
+
+
+def test_key_bitmap_has_every_key(spark):
+    import numpy as np
+
+    from quernix.operators.neardup import key_bitmap
+
+    keys = [0, 1, -1, 5, 32_767, 32_768, -(2**63), 2**63 - 1, *random.Random(3).sample(range(-(2**60), 2**60), 3000)]
+    bits = key_bitmap(spark.createDataFrame([(k,) for k in keys], "key bigint"))
+    at = np.array(keys, dtype=np.int64) & np.int64(8 * len(bits) - 1)
+    assert ((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1).all()
+    assert 0 < np.unpackbits(bits).sum() <= len(keys)
