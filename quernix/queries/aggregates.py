@@ -381,11 +381,13 @@ def w17(spark: SparkSession, sf: str) -> DataFrame:
     return bins.select("shard", F.inline(F.arrays_zip(F.col("es.task_id").alias("task_id"), F.col("bins").alias("bin")))).select("shard", "task_id", "bin")
 
 
-@R.add("w18_longest_first_fit", f"WITH {SFT}, o AS (SELECT n_tokens, row_number() OVER (ORDER BY n_tokens DESC, trajectory_id) AS k FROM sft WHERE n_tokens IS NOT NULL), c AS (SELECT k, sum(n_tokens) OVER (ORDER BY k) AS used FROM o WHERE k <= 200) SELECT (4 * count(*))::BIGINT AS fit FROM c WHERE used <= 30000")
+@R.add("w18_longest_first_fit", f"WITH {SFT}, o AS (SELECT n_tokens, row_number() OVER (ORDER BY n_tokens DESC, trajectory_id) AS k FROM sft WHERE n_tokens > 0), c AS (SELECT k, sum(n_tokens) OVER (ORDER BY k) AS used FROM o) SELECT (4 * count(*))::BIGINT AS fit FROM c WHERE used <= 30000")
 def w18(spark: SparkSession, sf: str) -> DataFrame:
-    top = sft(spark, sf).where("n_tokens is not null").orderBy(F.desc("n_tokens"), "trajectory_id").limit(200).select("n_tokens", "trajectory_id")
+    budget = 30_000
+    # items have a token at least, so no more than budget of them can fit
+    top = sft(spark, sf).where("n_tokens > 0").orderBy(F.desc("n_tokens"), "trajectory_id").limit(budget).select("n_tokens", "trajectory_id")
     used = F.sum("n_tokens").over(Window.orderBy(F.desc("n_tokens"), "trajectory_id").rowsBetween(Window.unboundedPreceding, 0))
-    return top.withColumn("used", used).where("used <= 30000").agg((4 * F.count(F.lit(1))).alias("fit"))
+    return top.withColumn("used", used).where(F.col("used") <= budget).agg((4 * F.count(F.lit(1))).alias("fit"))
 
 
 @R.add("w19_worst_case_batches", f"WITH {SFT} SELECT ceil(sum(n_tokens) / 8192.0)::BIGINT AS worst FROM (SELECT n_tokens FROM sft WHERE n_tokens IS NOT NULL ORDER BY n_tokens DESC LIMIT 32)")

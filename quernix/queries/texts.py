@@ -31,10 +31,10 @@ def x01(spark: SparkSession, sf: str) -> DataFrame:
     return tasks(spark, sf).where("task_content_sha256 is not null").select("task_id", F.sha2(X.canonical_prompt(_shell()), 256).alias("prompt_sha256"))
 
 
-@R.add("x02_strip_preamble", "SELECT doc_id, len(text)::BIGINT AS n FROM documents WHERE text IS NOT NULL AND doc_id % 5 = 0 UNION ALL SELECT doc_id, (len(text) + 21)::BIGINT FROM documents WHERE text IS NOT NULL AND doc_id % 5 = 1")
+@R.add("x02_strip_preamble", "SELECT doc_id, (len(text) + CASE WHEN doc_id % 5 = 0 THEN 0 ELSE 21 END)::BIGINT AS n FROM documents WHERE text IS NOT NULL")
 def x02(spark: SparkSession, sf: str) -> DataFrame:
     """Texts led by a warning that belongs to a terminal output, and by one that doesn't."""
-    t = table(spark, sf, "documents").where("text is not null and doc_id % 5 < 2")
+    t = table(spark, sf, "documents").where("text is not null")
     led = F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("Previous response had warnings:\n- extra text\n\nNew Terminal Output:"), "text")).otherwise(F.concat(F.lit("Previous warnings:\n\n\n"), "text"))
     n = F.length(X.strip_warning_preamble(led))
     return t.select("doc_id", big(F.when(F.col("doc_id") % 5 == 0, n - len("New Terminal Output:")).otherwise(n)).alias("n"))
@@ -82,11 +82,11 @@ def x11(spark: SparkSession, sf: str) -> DataFrame:
     return trajectories(spark, sf).select("trajectory_id", X.session_id(F.col("model_name"), F.col("task_group_id")).alias("session"))
 
 
-@R.add("x12_log_fields", "SELECT doc_id, (doc_id % 50)::BIGINT AS step, (doc_id % 7 + 0.5)::DOUBLE AS loss, (doc_id % 3)::DOUBLE AS grad_norm, NULL::DOUBLE AS lr FROM documents WHERE doc_id % 2 = 0")
+@R.add("x12_log_fields", "SELECT doc_id, (doc_id % 50)::BIGINT AS step, (doc_id % 7 + 0.5)::DOUBLE AS loss, (doc_id % 3)::DOUBLE AS grad_norm, NULL::DOUBLE AS lr FROM documents")
 def x12(spark: SparkSession, sf: str) -> DataFrame:
     d = F.col("doc_id")
     f = X.log_fields(F.concat(F.lit("[x] Iteration "), d % 50, F.lit(" | LM loss: "), d % 7, F.lit(".5E+0 | Grad Norm="), d % 3, F.lit(" | lrx: 3")))
-    return table(spark, sf, "documents").where("doc_id % 2 = 0").select("doc_id", *[f[k].alias(k) for k in ("step", "loss", "grad_norm", "lr")])
+    return table(spark, sf, "documents").select("doc_id", *[f[k].alias(k) for k in ("step", "loss", "grad_norm", "lr")])
 
 
 @R.add("x13_nan_lines", "SELECT doc_id FROM documents WHERE contains(lower(text), 'nan') AND (contains(lower(text), 'loss') OR contains(lower(text), 'grad'))")
