@@ -420,7 +420,10 @@ def defective_pairs(df: DataFrame, id_col: str, turns: str) -> DataFrame:
     ends = pairs.select("answer").mapInArrow(_count_ends, "before string, word string, ends bigint, n bigint")
     pair_ends = stage(ends.groupBy("before", "word").agg(F.sum("ends").alias("pe"), F.sum("n").alias("pn")), "ends")
     word_ends = pair_ends.groupBy("word").agg(F.sum("pe").alias("we"), F.sum("pn").alias("wn"))
-    told = loose.join(pair_ends, ["before", "word"], "left").join(word_ends, "word", "left")
-    share = F.when(F.col("pn") >= 3, F.col("pe") / F.col("pn")).when(F.col("wn") >= 3, F.col("we") / F.col("wn")).otherwise(F.when(F.col("kind") == "b", 1.0).otherwise(0.0))
+    before_ends = pair_ends.groupBy("before").agg(F.sum("pe").alias("be"), F.sum("pn").alias("bn"))
+    told = loose.join(pair_ends, ["before", "word"], "left").join(word_ends, "word", "left").join(before_ends, "before", "left")
+    # a last word that is hardly known is told by what follows the word before it
+    unknown = F.when(F.col("kind") == "p", 0.0).when(F.col("bn") >= 3, F.col("be") / F.col("bn")).otherwise(1.0)
+    share = F.when(F.col("pn") >= 3, F.col("pe") / F.col("pn")).when(F.col("wn") >= 3, F.col("we") / F.col("wn")).otherwise(unknown)
     cut = told.where(share < LEAST_END_SHARE).select("trial_name", "turn", F.lit("truncated").alias("defect"))
     return sure.unionByName(cut).distinct().withColumnRenamed("trial_name", id_col)
