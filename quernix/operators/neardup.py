@@ -29,7 +29,7 @@ from quernix.runtime import ship, stage
 class SignatureJoin:
     """width: words of a sequence; similarity: least Jaccard similarity of a pair. errors: lanes of a chunk that may
     differ. slack: standard deviations by which a pair's signature may stray from the similarity before the exact check.
-    hot: members above which a meeting place is split by further keys.
+    hot: members above which a meeting place is enumerated in blocks of about `block` members, block against block.
     """
 
     width: int = 5
@@ -39,6 +39,7 @@ class SignatureJoin:
     errors: int = 1
     slack: float = 4.5
     hot: int = 200
+    block: int = 1000
 
     @property
     def lanes(self) -> int:
@@ -155,31 +156,58 @@ def _meet(rows: DataFrame) -> DataFrame:
     return firsts.select(F.col("p.a").alias("a"), F.explode("p.bs").alias("b")).distinct()
 
 
+def _blocks_meet(c: SignatureJoin):
+    """Pairs of a block of a place with another or with itself that are near lane by lane and share no earlier key."""
+
+    def run(t: pa.Table) -> pa.Table:
+        lanes = np.frombuffer(b"".join(t.column("lanes").to_pylist()), dtype=np.uint16).reshape(t.num_rows, -1)
+        h, b = t.column("h").to_numpy(), t.column("b").to_numpy()
+        i, j, place = (t.column(k)[0].as_py() for k in ("i", "j", "key"))
+        keys, left, right = chunk_keys(lanes, c).view(np.int64), np.flatnonzero(b == i), np.flatnonzero(b == j)
+        columns = np.ascontiguousarray(lanes[right].T)
+        out = []
+        for at in range(0, len(left), 128):
+            rows = left[at : at + 128]
+            far = np.zeros((len(rows), len(right)), dtype=np.uint16)
+            for k, column in enumerate(columns):
+                far += lanes[rows, k][:, None] != column
+            x, y = np.nonzero(far <= c.most_distance)
+            x, y = rows[x], right[y]
+            if i == j:
+                x, y = x[h[x] < h[y]], y[h[x] < h[y]]
+            # a pair is near at every place where it meets; the place of its first key gives it
+            for cut in range(0, len(x), 20_000):
+                p, q = x[cut : cut + 20_000], y[cut : cut + 20_000]
+                same = keys[p] == keys[q]
+                on = same.any(axis=1) & (keys[p, same.argmax(axis=1)] == place)
+                out.append(np.stack([h[p[on]], h[q[on]]], axis=1))
+        got = np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64)
+        return pa.table({"a": got.min(axis=1), "b": got.max(axis=1)})
+
+    return run
+
+
+def _meet_hot(hot: DataFrame, reps: DataFrame, c: SignatureJoin) -> DataFrame:
+    """Near pairs of the members of each key of (key, h, n), whose number n has no bound: every block of a place is held
+    against every other and itself, in groups of two blocks at most."""
+    last = F.ceil(F.col("n") / c.block).cast("int") - 1
+    told = hot.join(reps.select("h", "lanes"), "h").withColumn("last", last).withColumn("b", F.expr("CAST(pmod(xxhash64(h, key), last + 1) AS INT)"))
+    each = told.withColumn("o", F.explode(F.sequence(F.lit(0), "last")))
+    each = each.select("key", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b", "h", "lanes")
+    return each.groupBy("key", "i", "j").applyInArrow(_blocks_meet(c), "a bigint, b bigint")
+
+
 def candidate_pairs(reps: DataFrame, c: SignatureJoin) -> DataFrame:
-    """(a, b) hashes of records whose signatures meet, a < b. A key met by more than c.hot records is not enumerated:
-    its members are told apart by pairing the key with each of their other keys, again and again, until places are
-    small, or for members alike in all keys so far until the level below which signatures hardly differ.
+    """(a, b) hashes of records whose signatures meet, a < b. Of a key met by more than c.hot records only the pairs
+    within c.most_distance come out; the others would be dropped by the lanes later.
     """
     counts = stage(keys_of(reps, c).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "counts")
     # most keys are met by one record only; made again, all but few of those are left out before the shuffle
     shared = stage(keys_of(reps, c, key_bitmap(counts)).join(counts, "key"), "meeting")
     pairs = _meet(shared.where(F.col("n") <= c.hot))
-    hot = shared.where(F.col("n") > c.hot).select(F.col("key").alias("place"), "h")
-    for level in range(2):
-        if hot.isEmpty():
-            break
-        # another key of the same record, from another chunk or other lanes, tells the members of a place apart
-        finer = hot.join(shared.select("h", "key"), "h").where("place <> key").select(F.xxhash64("place", "key").alias("key"), "h")
-        sizes = finer.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        split = stage(finer.join(sizes, "key"), "finer")
-        last = level == 1
-        pairs = pairs.unionByName(_meet(split.where(F.col("n") <= c.hot)))
-        rest = split.where(F.col("n") > c.hot)
-        if last:
-            a = rest.select("key", F.col("h").alias("a"))
-            b = rest.select("key", F.col("h").alias("b"))
-            pairs = pairs.unionByName(a.join(b, "key").where("a < b").select("a", "b"))
-        hot = rest.select(F.col("key").alias("place"), "h").distinct()
+    hot = shared.where(F.col("n") > c.hot)
+    if not hot.isEmpty():
+        pairs = pairs.unionByName(_meet_hot(hot, reps, c))
     return pairs.distinct()
 
 

@@ -131,6 +131,46 @@ def test_near_duplicates_equal_brute_force(spark, width, similarity):
     assert all(by[a] == by[b] for a, b in want)
 
 
+def _signature_rows(spark, lanes):
+    return spark.createDataFrame([(k, bytearray(x.tobytes())) for k, x in enumerate(lanes)], "h bigint, lanes binary")
+
+
+def test_pair_that_shares_one_hot_key_is_kept(spark):
+    import numpy as np
+
+    from quernix.operators.neardup import candidate_pairs, chunk_keys
+
+    c = SignatureJoin(similarity=0.6, hot=2)
+    lanes = np.tile(np.random.default_rng(4).integers(0, 2**15, (1, c.lanes), dtype=np.uint16), (3, 1))
+    for k in (1, 2):
+        lanes[k, c.chunk_lanes - 1] += k
+        for chunk in range(1, c.chunks):
+            lanes[k, chunk * c.chunk_lanes + 2 * k - 2 : chunk * c.chunk_lanes + 2 * k] += k
+    keys = chunk_keys(lanes, c)
+    assert all((keys[0] == keys[k]).sum() == 1 for k in (1, 2))
+    got = {(r.a, r.b) for r in candidate_pairs(_signature_rows(spark, lanes), c).collect()}
+    assert {(0, 1), (0, 2)} <= got
+
+
+@pytest.mark.parametrize("block", [3, 1000])
+def test_hot_places_equal_brute_force(spark, block):
+    import numpy as np
+
+    from quernix.operators.neardup import candidate_pairs, chunk_keys
+
+    c = SignatureJoin(similarity=0.6, hot=5, block=block)
+    rng = np.random.default_rng(block)
+    lanes = np.tile(rng.integers(0, 2**15, (1, c.lanes), dtype=np.uint16), (60, 1))
+    off = rng.random(lanes.shape) < 0.3
+    lanes[off] = rng.integers(2**15, 2**16, off.sum(), dtype=np.uint16)
+    keys = chunk_keys(lanes, c)
+    want = {(a, b) for a in range(60) for b in range(a + 1, 60) if (keys[a] == keys[b]).any() and (lanes[a] != lanes[b]).sum() <= c.most_distance}
+    rows = candidate_pairs(_signature_rows(spark, lanes), c).collect()
+    got = {(r.a, r.b) for r in rows}
+    assert len(rows) == len(got) and all(a < b for a, b in got)
+    assert {(a, b) for a, b in got if (lanes[a] != lanes[b]).sum() <= c.most_distance} == want
+
+
 def test_near_duplicates_of_nothing(spark):
     members, links = near_duplicate_classes(spark.createDataFrame([], "id string, text string"), "id", F.col("text"), SignatureJoin())
     assert members.count() == 0 and links.count() == 0
