@@ -1,7 +1,11 @@
 """Subject areas of documents by bisecting k-means over document vectors.
 
-1. Every text becomes its sequence of words; document frequencies are counted over all documents, and the vocabulary
-   is the `vocabulary` most frequent words that are not in more than `common` of all documents.
+Copies are one text in all that follows; their documents get its subjects at the end, and count only where a word or a
+leaf needs a least number of documents.
+
+1. Every text becomes its sequence of words; document frequencies are counted over all texts, and the vocabulary is the
+   `vocabulary` most frequent words. Of words that are in more than `common` of all texts only those count that labelled
+   texts of some subject have far more often than the others; without labels none.
 2. Every document becomes a vector: tf-idf over the vocabulary, words that seldom come twice in a text weighing less,
    projected by random signs to `dims` and normalised.
 3. Bisecting k-means splits all documents, level by level: a pass sends down the tree, adds up both children of each
@@ -29,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quernix.functions.words import fold
+from quernix.operators.skew import salted_join
 from quernix.runtime import ship, stage
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -47,7 +52,7 @@ class SubjectModel:
     label_sample: int = 20_000
     #: Labelled documents that a term's leaves count for.
     leaf_weight: float = 4.0
-    #: A discriminative term's share in its subject, against the subject's share of all mentions, and in itself.
+    #: A discriminative term's odds of its subject, against the subject's odds among all mentions, and its share in it.
     least_lift: float = 2.2
     least_share: float = 0.35
     #: How much likelier than the next subject a term has to make its own.
@@ -73,7 +78,8 @@ def text_words(text: str) -> list[str]:
 
 
 def _read_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, codes, words): 32-bit hashes of the words in order; words are those this task met for the first time."""
+    """(doc_id, digest, codes, words): 32-bit hashes of the words in order and their digest; words are those this task
+    met for the first time."""
     known: dict[str, int] = {}
     for b in batches:
         if len(known) > 1_000_000:
@@ -93,7 +99,8 @@ def _read_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 row = [known[w] for w in ws]
             codes.append(np.array(row, dtype=np.uint32).tobytes())
             fresh.append(new)
-        yield pa.record_batch([b.column(0), pa.array(codes, pa.binary()), pa.array(fresh, pa.list_(pa.string()))], names=["doc_id", "codes", "words"])
+        digests = [xxhash.xxh3_128_digest(x) for x in codes]
+        yield pa.record_batch([b.column(0), pa.array(digests, pa.binary()), pa.array(codes, pa.binary()), pa.array(fresh, pa.list_(pa.string()))], names=["doc_id", "digest", "codes", "words"])
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,9 +108,33 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, doc = _flat(b.column(0).to_pylist(), np.uint32)
         flat = flat.astype(np.int64)
         code, cf = np.unique(flat, return_counts=True)
-        once = np.unique(doc * np.int64(2**32) + flat) % 2**32
-        df = np.bincount(np.searchsorted(code, once), minlength=len(code))
-        yield pa.record_batch([pa.array(code), pa.array(df.astype(np.int64)), pa.array(cf.astype(np.int64))], names=["code", "df", "cf"])
+        once = np.unique(doc * np.int64(2**32) + flat)
+        at, copies = np.searchsorted(code, once % 2**32), b.column(1).to_numpy()
+        df = np.bincount(at, minlength=len(code))
+        rows = np.bincount(at, weights=copies[once // 2**32], minlength=len(code))
+        yield pa.record_batch([pa.array(code), pa.array(df.astype(np.int64)), pa.array(cf.astype(np.int64)), pa.array(rows.astype(np.int64))], names=["code", "df", "cf", "docs"])
+
+
+def _codes_among(wanted: np.ndarray):
+    """Which of the wanted codes, sorted, each text has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            terms = []
+            for x in b.column(2).to_pylist():
+                terms.append(np.flatnonzero(np.isin(wanted, np.frombuffer(x, dtype=np.uint32))).astype(np.int32).tobytes())
+            yield pa.record_batch([b.column(0), b.column(1), pa.array(terms, pa.binary())], names=["digest", "subject", "terms"])
+
+    return run
+
+
+def telling(has: np.ndarray, texts: np.ndarray, total: np.ndarray, n: float, m: SubjectModel) -> np.ndarray:
+    """Which words some subject's texts have least_lift times as often as the other labelled ones, by more than chance.
+    has: (subjects, words) texts of a subject that have a word, of texts; total: all labelled ones with it, of n."""
+    others = np.maximum(n - texts, 1.0)[:, None]
+    inside, outside = has / np.maximum(texts, 1e-9)[:, None], np.clip((total - has) / others, 1e-9, 1.0)
+    chance = 4 * np.sqrt(outside * (1 - outside) / np.maximum(texts, 1e-9)[:, None])
+    return ((inside - chance >= m.least_lift * outside) & (texts[:, None] > 0)).any(axis=0)
 
 
 def _flat(blobs: list[bytes], dtype) -> tuple[np.ndarray, np.ndarray]:
@@ -148,7 +179,7 @@ def _to_vectors(space: _Space):
                 term, doc = term[~gap], doc[~gap]
                 cut = np.searchsorted(doc, np.arange(part.num_rows + 1))
                 terms = [term[cut[k] : cut[k + 1]].tobytes() for k in range(part.num_rows)]
-                yield pa.record_batch([part.column(0), pa.array(terms, pa.binary()), pa.array([v.tobytes() for v in vec], pa.binary())], names=["doc_id", "terms", "vec"])
+                yield pa.record_batch([part.column(0), pa.array(terms, pa.binary()), pa.array([v.tobytes() for v in vec], pa.binary()), part.column(2)], names=["digest", "terms", "vec", "n"])
 
     return run
 
@@ -183,11 +214,11 @@ _SEEDS = 6
 
 
 def _sum_leaves(tree: _Tree):
-    """Per leaf of a task: number and sum of vectors, and the vectors of the documents of least hash as seeds."""
+    """Per leaf of a task: number and sum of vectors, their documents, and the vectors of the texts of least hash as seeds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k, dims = tree.centroids.shape
-        total, n, seeds = np.zeros((k, dims)), np.zeros(k, dtype=np.int64), {}
+        total, n, docs, seeds = np.zeros((k, dims)), np.zeros(k, dtype=np.int64), np.zeros(k, dtype=np.int64), {}
         for b in batches:
             if not b.num_rows:
                 continue
@@ -198,15 +229,17 @@ def _sum_leaves(tree: _Tree):
             here = leaf[order][at]
             total[here] += np.add.reduceat(x[order].astype(np.float64), at, axis=0)
             n += np.bincount(leaf, minlength=k)
+            docs += np.bincount(leaf, weights=b.column(2).to_numpy(), minlength=k).astype(np.int64)
             rank = b.column(0).to_numpy(zero_copy_only=False)
             for s, e, node in zip(at, [*at[1:], len(order)], here, strict=True):
                 rows = order[s:e]
+                rows = rows[x[rows].any(axis=1)]  # a text without terms has no direction
                 rows = rows[np.argsort(rank[rows])[:_SEEDS]]
                 seeds[node] = sorted([*seeds.get(node, []), *((int(rank[r]), x[r].astype(np.float32).tobytes()) for r in rows)])[:_SEEDS]
         on = np.flatnonzero(n)
         yield pa.record_batch(
-            [pa.array(on), pa.array(n[on]), pa.array([total[j].tobytes() for j in on], pa.binary()), pa.array([[r for r, _ in seeds[j]] for j in on], pa.list_(pa.int64())), pa.array([b"".join(v for _, v in seeds[j]) for j in on], pa.binary())],
-            names=["node", "n", "total", "ranks", "seeds"],
+            [pa.array(on), pa.array(n[on]), pa.array(docs[on]), pa.array([total[j].tobytes() for j in on], pa.binary()), pa.array([[r for r, _ in seeds[j]] for j in on], pa.list_(pa.int64())), pa.array([b"".join(v for _, v in seeds[j]) for j in on], pa.binary())],
+            names=["node", "n", "docs", "total", "ranks", "seeds"],
         )
 
     return run
@@ -217,18 +250,18 @@ def _merge_leaves(pdf: pd.DataFrame) -> pd.DataFrame:
     total = np.sum([np.frombuffer(x) for x in pdf["total"]], axis=0)
     dims = len(total)
     pool = sorted((int(r), np.frombuffer(s, dtype=np.float32).reshape(-1, dims)[i].tobytes()) for rs, s in zip(pdf["ranks"], pdf["seeds"], strict=True) for i, r in enumerate(rs))[:_SEEDS]
-    return pd.DataFrame({"node": [int(pdf["node"].iloc[0])], "n": [int(pdf["n"].sum())], "total": [total.tobytes()], "ranks": [[r for r, _ in pool]], "seeds": [b"".join(s for _, s in pool)]})
+    return pd.DataFrame({"node": [int(pdf["node"].iloc[0])], "n": [int(pdf["n"].sum())], "docs": [int(pdf["docs"].sum())], "total": [total.tobytes()], "ranks": [[r for r, _ in pool]], "seeds": [b"".join(s for _, s in pool)]})
 
 
-_NODE_SCHEMA = "node bigint, n bigint, total binary, ranks array<bigint>, seeds binary"
+_NODE_SCHEMA = "node bigint, n bigint, docs bigint, total binary, ranks array<bigint>, seeds binary"
 
 
-def _pass(vectors: DataFrame, tree: _Tree) -> dict[int, tuple[int, np.ndarray, np.ndarray]]:
-    """Number, sum and seeds of every leaf; as many rows come to the driver as there are leaves."""
-    rows = vectors.select(F.xxhash64("doc_id").alias("rank"), "vec").mapInArrow(_sum_leaves(tree), _NODE_SCHEMA)
+def _pass(vectors: DataFrame, tree: _Tree) -> dict[int, tuple[int, np.ndarray, np.ndarray, int]]:
+    """Number of texts, sum, seeds and number of documents of every leaf; as many rows come to the driver as there are leaves."""
+    rows = vectors.select(F.xxhash64("digest").alias("rank"), "vec", "n").mapInArrow(_sum_leaves(tree), _NODE_SCHEMA)
     got = rows.groupBy("node").applyInPandas(_merge_leaves, _NODE_SCHEMA).collect()
     dims = tree.centroids.shape[1]
-    return {r["node"]: (r["n"], np.frombuffer(r["total"]), np.frombuffer(r["seeds"], dtype=np.float32).reshape(-1, dims)) for r in got}
+    return {r["node"]: (r["n"], np.frombuffer(r["total"]), np.frombuffer(r["seeds"], dtype=np.float32).reshape(-1, dims), r["docs"]) for r in got}
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
@@ -236,11 +269,12 @@ def _unit(v: np.ndarray) -> np.ndarray:
 
 
 def bisecting_kmeans(vectors: DataFrame, dims: int, m: SubjectModel) -> tuple[_Tree, dict[int, int]]:
-    """Tree of m.leaves leaves at most over (doc_id, vec), and the documents of each leaf."""
+    """Tree of m.leaves leaves at most over (digest, vec, n), and the texts of each leaf. What a leaf needs to be split
+    is told by its documents, which of them goes first by its texts."""
     tree = _Tree(np.zeros((1, dims), dtype=np.float32), np.full((1, 2), -1))
     seen = _pass(vectors, tree)
     while True:
-        leaves = [j for j in tree.leaves().tolist() if seen.get(j, (0,))[0] >= 2 * m.least_leaf and len(seen[j][2]) > 1]
+        leaves = [j for j in tree.leaves().tolist() if j in seen and seen[j][3] >= 2 * m.least_leaf and len(seen[j][2]) > 1]
         room = m.leaves - len(tree.leaves())
         leaves = sorted(leaves, key=lambda j: (-seen[j][0], j))[:room]
         fresh = []
@@ -327,7 +361,9 @@ def discriminative(counts: np.ndarray, m: SubjectModel, first: bool = False) ->
     top = np.argmax(lift, axis=0)
     at = np.arange(counts.shape[1])
     second = np.sort(lift, axis=0)[-2] if counts.shape[0] > 1 else np.zeros(counts.shape[1])
-    good = (lift[top, at] >= m.least_lift) & (first | (share[top, at] >= m.least_share)) & (lift[top, at] >= m.least_lead * second)
+    # against all other subjects: a term of a subject with half of all mentions can't have twice their share
+    over = lift[top, at] * (1 - prior[top]) / np.maximum(1 - share[top, at], 1e-9)
+    good = (over >= m.least_lift) & (first | (share[top, at] >= m.least_share)) & (lift[top, at] >= m.least_lead * second)
     return np.where(good, top, -1)
 
 
@@ -347,7 +383,7 @@ def _assign(tag: np.ndarray, tree: _Tree, leaf_subject: np.ndarray, subjects: li
             none_too = np.flatnonzero((total > 0) & ~chosen.any(axis=1))
             chosen[none_too, np.argmax(seen[none_too], axis=1)] = True
             d, s = np.nonzero(chosen)
-            yield pa.record_batch([b.column(0).take(pa.array(d)), pa.array([subjects[k] for k in s], pa.string())], names=["doc_id", "subject"])
+            yield pa.record_batch([b.column(0).take(pa.array(d)), pa.array([subjects[k] for k in s], pa.string())], names=["digest", "subject"])
 
     return run
 
@@ -371,10 +407,33 @@ def document_subjects(docs: DataFrame, areas: DataFrame, labels: DataFrame, m: S
         return spark.createDataFrame([], schema)
     place = {subject_name(s): k for k, s in enumerate(subjects)}
     full = docs.select("doc_id", "text").where(F.col("text").rlike(r"[^\s\p{Z}\p{C}]"))
-    read = stage(full.mapInArrow(_read_words, f"doc_id {kind}, codes binary, words array<string>"), "words")
-    n_docs = read.count()
-    df = read.select("codes").mapInArrow(_frequencies, "code bigint, df bigint, cf bigint").groupBy("code").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf")).where("code <> 0")
-    vocab = df.where((F.col("df") >= m.least_df) & (F.col("df") <= max(m.common * n_docs, m.least_df))).orderBy(F.desc("df"), "code").limit(m.vocabulary).toPandas()
+    read = stage(full.mapInArrow(_read_words, f"doc_id {kind}, digest binary, codes binary, words array<string>"), "words")
+    texts = stage(read.groupBy("digest", "codes").agg(F.count(F.lit(1)).alias("n")), "texts")
+    n_texts = texts.count()
+    said = labels.select("doc_id", "subject").where("doc_id is not null and subject is not null").distinct()
+    said = said.join(read.select("doc_id", "digest").distinct(), "doc_id").groupBy("digest", "subject").agg(F.count(F.lit(1)).alias("n"))
+    said = stage(said.orderBy(F.xxhash64("digest"), "digest", "subject").limit(m.label_sample), "labels")
+    share = _label_shares(said, place)
+    df = texts.select("codes", "n").mapInArrow(_frequencies, "code bigint, df bigint, cf bigint, docs bigint").groupBy("code").agg(*[F.sum(c).alias(c) for c in ("df", "cf", "docs")])
+    # a word of copies of few texts tells nothing of others, but where nearly all texts have copies
+    few = min(m.least_df, max(1, n_texts // 1000))
+    df = stage(df.where((F.col("code") != 0) & (F.col("docs") >= m.least_df) & (F.col("df") >= few)), "frequencies")
+    common = F.col("df") > max(m.common * n_texts, m.least_df)
+    often = np.sort(df.where(common).orderBy(F.desc("df"), "code").limit(m.vocabulary).toPandas()["code"].to_numpy()).astype(np.uint32)
+    keep = []
+    if len(often) and share:
+        rows = texts.drop("n").join(F.broadcast(said), "digest").select("digest", "subject", "codes").mapInArrow(_codes_among(often), "digest binary, subject string, terms binary").select("digest", "terms").distinct().collect()
+        has, total, of, n = np.zeros((len(subjects), len(often))), np.zeros(len(often)), np.zeros(len(subjects)), 0
+        for r in rows:
+            if told := share.get(bytes(r["digest"])):
+                t = np.frombuffer(r["terms"], dtype=np.int32)
+                total[t] += 1
+                n += 1
+                for k, w in told.items():
+                    has[k, t] += w
+                    of[k] += w
+        keep = [int(c) for c in often[telling(has, of, total, n, m)]]
+    vocab = df.where(~common | F.col("code").isin(keep)).orderBy(F.desc("df"), "code").limit(m.vocabulary).toPandas()
     if not len(vocab):
         return spark.createDataFrame([], schema)
     vocab = vocab.sort_values("code")
@@ -386,27 +445,26 @@ def document_subjects(docs: DataFrame, areas: DataFrame, labels: DataFrame, m: S
     signs = (rng.integers(0, 2, (len(codes), m.dims)) * 2 - 1).astype(np.float32) / np.float32(np.sqrt(m.dims))
     # words of a matter come again in a text that has them, words of phrasing don't
     burst = np.log(vocab["cf"].to_numpy() / vocab["df"].to_numpy()) ** 2 + 0.01
-    space = _Space(codes, (np.log(n_docs / vocab["df"].to_numpy() + 1) * burst).astype(np.float32), signs)
-    vectors = stage(read.select("doc_id", "codes").mapInArrow(_to_vectors(space), f"doc_id {kind}, terms binary, vec binary"), "vectors")
+    space = _Space(codes, (np.log(n_texts / vocab["df"].to_numpy() + 1) * burst).astype(np.float32), signs)
+    vectors = stage(texts.select("digest", "codes", "n").mapInArrow(_to_vectors(space), "digest binary, terms binary, vec binary, n bigint"), "vectors")
 
-    tree, _ = bisecting_kmeans(vectors.select("doc_id", "vec"), m.dims, m)
+    tree, _ = bisecting_kmeans(vectors.select("digest", "vec", "n"), m.dims, m)
     leaf_of = tree.leaves()
     in_leaf = _term_matrix(vectors.select("terms", "vec").mapInArrow(_leaf_terms(tree, len(codes)), "part bigint, term bigint, n double"), len(tree.centroids), len(codes))
 
-    said = labels.select("doc_id", "subject").where("doc_id is not null and subject is not null").distinct()
-    said = said.join(vectors, "doc_id").orderBy(F.xxhash64("doc_id", "subject")).limit(m.label_sample).select("vec", "terms", "subject").collect()
-    said = [(r["vec"], r["terms"], place[s]) for r in said if (s := subject_name(r["subject"])) in place]
+    rows = vectors.select("digest", "vec", "terms").join(F.broadcast(said.select("digest").distinct()), "digest").collect() if share else []
+    told = [(r["vec"], r["terms"], k, w) for r in sorted(rows, key=lambda r: bytes(r["digest"])) for k, w in share.get(bytes(r["digest"]), {}).items()]
     votes = np.zeros((len(tree.centroids), len(subjects)))
     labelled = np.zeros((len(subjects), len(codes)))
-    if said:
-        x = _vectors_of([v for v, _, _ in said])
-        which = np.array([k for _, _, k in said])
-        for _, terms, k in said:
+    if told:
+        x = _vectors_of([v for v, _, _, _ in told])
+        which, weight = np.array([k for _, _, k, _ in told]), np.array([w for _, _, _, w in told])
+        for _, terms, k, w in told:
             t = np.unique(np.frombuffer(terms, dtype=np.int16))
-            labelled[k, t[t >= 0]] += 1
+            labelled[k, t[t >= 0]] += w
         at = tree.descend(x)
-        np.add.at(votes, (at, which), 1.0)
-        near = np.maximum(x @ tree.centroids[leaf_of].T, 0) ** 6
+        np.add.at(votes, (at, which), weight)
+        near = weight[:, None] * np.maximum(x @ tree.centroids[leaf_of].T, 0) ** 6
         for k in range(len(subjects)):
             votes[leaf_of, k] += 0.2 * near[which == k].sum(axis=0)
     term_at = {name_of.get(int(c)): k for k, c in enumerate(codes)}
@@ -425,7 +483,21 @@ def document_subjects(docs: DataFrame, areas: DataFrame, labels: DataFrame, m: S
     # a leaf is labelled by the discriminative terms it has most
     by_terms = np.stack([in_leaf[:, tag == k].sum(axis=1) for k in range(len(subjects))], axis=1)
     leaf_subject = np.argmax(np.where(by_terms.sum(axis=1, keepdims=True) > 0, by_terms, votes), axis=1)
-    return vectors.select("doc_id", "terms", "vec").mapInArrow(_assign(tag, tree, leaf_subject, subjects, m), schema).distinct()
+    assigned = vectors.select("digest", "terms", "vec").mapInArrow(_assign(tag, tree, leaf_subject, subjects, m), "digest binary, subject string")
+    # one text may have copies in a large part of all documents
+    of_text = assigned.groupBy("digest").agg(F.collect_set("subject").alias("all"))
+    parts = salted_join(read.select("doc_id", "digest"), of_text, ["digest"], F.col("doc_id"), "inner")
+    return parts.select("doc_id", F.explode("all").alias("subject")).distinct()
+
+
+def _label_shares(said: DataFrame, place: dict[str, int]) -> dict[bytes, dict[int, float]]:
+    """Weights of the subjects of each labelled text: how often its copies are labelled so, against their commonest."""
+    counts: dict[bytes, dict[int, float]] = {}
+    for r in said.collect():
+        if (k := place.get(subject_name(r["subject"]))) is not None:
+            own = counts.setdefault(bytes(r["digest"]), {})
+            own[k] = own.get(k, 0.0) + r["n"]
+    return {d: {k: n / max(own.values()) for k, n in own.items()} for d, own in counts.items()}
 
 
 def _code_words(codes: np.ndarray):

@@ -280,3 +280,21 @@ def test_subjects_defined_cases(spark):
     assert document_subjects(docs.where("false"), areas, labels, m).count() == 0
     assert document_subjects(docs, areas.where("false"), labels, m).count() == 0
     assert document_subjects(docs, areas, labels.where("false"), m).count() > 0
+
+
+def _law_and_food(spark):
+    rng = random.Random(5)
+    law, food, rest = ("court judge statute appeal verdict counsel", "soup broth pantry oven butter flour", "with that from into over then")
+    text = lambda ws: " ".join(rng.choices(ws.split(), k=14) + rng.choices(rest.split(), k=8))
+    rows = [(k, text(law)) for k in range(40)] + [(100 + k, text(food)) for k in range(40)]
+    labels = [(k, "law") for k in range(20)] + [(100 + k, "food") for k in range(20)]
+    areas = spark.createDataFrame([("law", "-"), ("food", "-")], "subject string, description string")
+    return rows, areas, spark.createDataFrame(labels, "doc_id bigint, subject string")
+
+
+def test_subjects_by_words_of_most_documents(spark):
+    """Every telling word is in a third of all documents or more, and a third of them are copies of one text."""
+    rows, areas, labels = _law_and_food(spark)
+    docs = spark.createDataFrame(rows + [(1000 + k, rows[0][1]) for k in range(40)], "doc_id bigint, text string")
+    got = {(r.doc_id, r.subject) for r in document_subjects(docs, areas, labels).collect()}
+    assert got == {(d, "food" if 100 <= d < 1000 else "law") for d in [*(k for k, _ in rows), *range(1000, 1040)]}
