@@ -352,7 +352,7 @@ def _inspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     defect = "copy"
                 elif is_refusal(folded, refusals, courtesies):
                     defect = "refusal"
-                elif _speaks_otherwise(q, a, folded, asked, said):
+                elif _speaks_otherwise(q, a, asked, said):
                     defect = "other_language"
                 elif open_structure(a):
                     defect = "truncated"
@@ -368,17 +368,17 @@ def _inspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _speaks_otherwise(question: str, answer: str, folded: str, asked: list[str], said: list[str]) -> bool:
-    if fold(question[:24]) in folded:
-        answer = _without_copy(answer, question)
-        said = words(answer)
+def _speaks_otherwise(question: str, answer: str, asked: list[str], said: list[str]) -> bool:
+    # of a single line nothing would be left
+    if "\n" in answer and (own := _without_copy(answer, asked)) != answer:
+        answer, said = own, words(own)
     return is_other_language(question, answer, asked, said)
 
 
-def _without_copy(answer: str, question: str) -> str:
-    """The answer without lines that repeat the question."""
-    asked = " ".join(words(question))
-    lines = [x for x in answer.split("\n") if not (len(w := words(x)) > 3 and " ".join(w) in asked)]
+def _without_copy(answer: str, asked: list[str]) -> str:
+    """The answer without lines that repeat some of the question's words."""
+    whole = " ".join(asked)
+    lines = [x for x in answer.split("\n") if not (len(w := words(x)) > 3 and " ".join(w) in whole)]
     return "\n".join(lines) if any(words(x) for x in lines) else answer
 
 

@@ -298,3 +298,11 @@ def test_subjects_by_words_of_most_documents(spark):
     docs = spark.createDataFrame(rows + [(1000 + k, rows[0][1]) for k in range(40)], "doc_id bigint, text string")
     got = {(r.doc_id, r.subject) for r in document_subjects(docs, areas, labels).collect()}
     assert got == {(d, "food" if 100 <= d < 1000 else "law") for d in [*(k for k, _ in rows), *range(1000, 1040)]}
+
+
+def test_answer_that_repeats_a_later_line_speaks_otherwise(spark):
+    later = "I have tried to do it with sed, but the output is not what I want and it is in the wrong place."
+    answer = f"> {later}\n\nLege zuerst eine Kopie von y.csv an, denn perl schreibt direkt in die Datei."
+    rows = [("a", [("user", f"{QUESTION}\n{later}"), ("assistant", answer)]), ("b", [("user", f"{QUESTION}\n{later}"), ("assistant", f"> {later}\n\n{ANSWER}")])]
+    df = spark.createDataFrame(rows, "id string, m array<struct<role: string, content: string>>")
+    assert {(r.id, r.defect) for r in defective_pairs(df, "id", "m").collect()} == {("a", "other_language")}
