@@ -214,7 +214,7 @@ _SEEDS = 6
 
 
 def _sum_leaves(tree: _Tree):
-    """Per leaf of a task: number and sum of vectors, their documents, and the vectors of the texts of least hash as seeds."""
+    """Per leaf of a task: number and sum of vectors, their documents, and the different vectors of least hash as seeds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k, dims = tree.centroids.shape
@@ -234,8 +234,8 @@ def _sum_leaves(tree: _Tree):
             for s, e, node in zip(at, [*at[1:], len(order)], here, strict=True):
                 rows = order[s:e]
                 rows = rows[x[rows].any(axis=1)]  # a text without terms has no direction
-                rows = rows[np.argsort(rank[rows])[:_SEEDS]]
-                seeds[node] = sorted([*seeds.get(node, []), *((int(rank[r]), x[r].astype(np.float32).tobytes()) for r in rows)])[:_SEEDS]
+                rows = rows[np.unique(rank[rows], return_index=True)[1][:_SEEDS]]  # equal vectors are one seed
+                seeds[node] = sorted({*seeds.get(node, []), *((int(rank[r]), x[r].astype(np.float32).tobytes()) for r in rows)})[:_SEEDS]
         on = np.flatnonzero(n)
         yield pa.record_batch(
             [pa.array(on), pa.array(n[on]), pa.array(docs[on]), pa.array([total[j].tobytes() for j in on], pa.binary()), pa.array([[r for r, _ in seeds[j]] for j in on], pa.list_(pa.int64())), pa.array([b"".join(v for _, v in seeds[j]) for j in on], pa.binary())],
@@ -249,7 +249,7 @@ def _merge_leaves(pdf: pd.DataFrame) -> pd.DataFrame:
     """One row of a node from those of all tasks."""
     total = np.sum([np.frombuffer(x) for x in pdf["total"]], axis=0)
     dims = len(total)
-    pool = sorted((int(r), np.frombuffer(s, dtype=np.float32).reshape(-1, dims)[i].tobytes()) for rs, s in zip(pdf["ranks"], pdf["seeds"], strict=True) for i, r in enumerate(rs))[:_SEEDS]
+    pool = sorted({(int(r), np.frombuffer(s, dtype=np.float32).reshape(-1, dims)[i].tobytes()) for rs, s in zip(pdf["ranks"], pdf["seeds"], strict=True) for i, r in enumerate(rs)})[:_SEEDS]
     return pd.DataFrame({"node": [int(pdf["node"].iloc[0])], "n": [int(pdf["n"].sum())], "docs": [int(pdf["docs"].sum())], "total": [total.tobytes()], "ranks": [[r for r, _ in pool]], "seeds": [b"".join(s for _, s in pool)]})
 
 
@@ -258,7 +258,7 @@ _NODE_SCHEMA = "node bigint, n bigint, docs bigint, total binary, ranks array<bi
 
 def _pass(vectors: DataFrame, tree: _Tree) -> dict[int, tuple[int, np.ndarray, np.ndarray, int]]:
     """Number of texts, sum, seeds and number of documents of every leaf; as many rows come to the driver as there are leaves."""
-    rows = vectors.select(F.xxhash64("digest").alias("rank"), "vec", "n").mapInArrow(_sum_leaves(tree), _NODE_SCHEMA)
+    rows = vectors.select(F.xxhash64("vec").alias("rank"), "vec", "n").mapInArrow(_sum_leaves(tree), _NODE_SCHEMA)
     got = rows.groupBy("node").applyInPandas(_merge_leaves, _NODE_SCHEMA).collect()
     dims = tree.centroids.shape[1]
     return {r["node"]: (r["n"], np.frombuffer(r["total"]), np.frombuffer(r["seeds"], dtype=np.float32).reshape(-1, dims), r["docs"]) for r in got}

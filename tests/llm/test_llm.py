@@ -306,3 +306,14 @@ def test_answer_that_repeats_a_later_line_speaks_otherwise(spark):
     rows = [("a", [("user", f"{QUESTION}\n{later}"), ("assistant", answer)]), ("b", [("user", f"{QUESTION}\n{later}"), ("assistant", f"> {later}\n\n{ANSWER}")])]
     df = spark.createDataFrame(rows, "id string, m array<struct<role: string, content: string>>")
     assert {(r.id, r.defect) for r in defective_pairs(df, "id", "m").collect()} == {("a", "other_language")}
+
+
+def test_leaf_of_equal_vectors_is_split(spark):
+    import numpy as np
+
+    from quernix.llm.subjects import bisecting_kmeans
+
+    vec = lambda k: bytearray(np.eye(4, dtype=np.float16)[k].tobytes())
+    rows = [(bytearray(f"{k}".encode()), vec(int(k % 500 == 0)), 1) for k in range(2000)]
+    _, sizes = bisecting_kmeans(spark.createDataFrame(rows, "digest binary, vec binary, n bigint"), 4, SubjectModel())
+    assert sorted(sizes.values()) == [4, 1996]
