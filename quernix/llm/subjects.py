@@ -11,10 +11,14 @@ leaf needs a least number of documents.
 3. Bisecting k-means splits all documents, level by level: a pass sends down the tree, adds up both children of each
    leaf, and a leaf splits again until there are `leaves`.
 4. A leaf's mixture of subjects comes from the labelled documents in it, or near it where it has few. A word's mixture
-   is that of the leaves it occurs in, together with that of the labelled documents that have it; words far more frequent in one subject than elsewhere are its discriminative
-   terms, and these label the leaves. A second pass takes documents' own mixtures in place of their leaves' mixtures.
-5. A document's mixture is the share of its mentions of discriminative terms by subject; every subject with a
-   substantial share is assigned. A document without such terms takes the subject of its leaf.
+   is that of the leaves it occurs in, together with that of the labelled documents that have it; words far more
+   frequent in one subject than elsewhere are its discriminative terms. Two more passes take documents' own mixtures in
+   place of their leaves' mixtures.
+5. Every document becomes a second vector, its mentions of discriminative terms by subject, normalised, and bisecting
+   k-means splits these in the same way. So the discriminative terms label each leaf: its centroid is its mixture of
+   subjects. A document without such terms has the vector of its first leaf's mixture.
+6. A document's mixture is that of the leaves near it, weighted by likeness, and every subject with a substantial share
+   in it is assigned.
 
 Only labelled documents are sampled, `label_sample` rows at most, by the order of a hash.
 """
@@ -23,7 +27,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -46,8 +50,10 @@ class SubjectModel:
     common: float = 0.1
     least_df: int = 5
     dims: int = 128
-    leaves: int = 192
-    rounds: int = 2
+    #: Leaves of the tree over words, and of the tree over subjects, of which documents take their mixtures.
+    leaves: int = 64
+    mixture_leaves: int = 768
+    rounds: int = 1
     least_leaf: int = 8
     label_sample: int = 20_000
     #: Labelled documents that a term's leaves count for.
@@ -57,8 +63,10 @@ class SubjectModel:
     least_share: float = 0.35
     #: How much likelier than the next subject a term has to make its own.
     least_lead: float = 2.2
-    #: Share of a document's mentions that makes a subject a substantial part of it.
-    substantial: float = 0.25
+    #: Share of a document's mixture that makes a subject a substantial part of it.
+    substantial: float = 0.2
+    #: How fast a leaf's weight falls with its distance: weights are exp(sharpness * cosine).
+    sharpness: float = 50.0
 
 
 def subject_name(label: str | None) -> str | None:
@@ -153,7 +161,7 @@ class _Space:
         """Vocabulary place of each word, -1 for others, and the document of each."""
         flat, doc = _flat(blobs, np.uint32)
         at = np.minimum(np.searchsorted(self.codes, flat), len(self.codes) - 1)
-        return np.where(self.codes[at] == flat, at, -1).astype(np.int16), doc
+        return np.where(self.codes[at] == flat, at, -1).astype(np.int32), doc
 
     def vectors(self, term: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
         on = term >= 0
@@ -273,6 +281,8 @@ def bisecting_kmeans(vectors: DataFrame, dims: int, m: SubjectModel) -> tuple[_T
     is told by its documents, which of them goes first by its texts."""
     tree = _Tree(np.zeros((1, dims), dtype=np.float32), np.full((1, 2), -1))
     seen = _pass(vectors, tree)
+    if 0 in seen:
+        tree.centroids[0] = _unit(seen[0][1])
     while True:
         leaves = [j for j in tree.leaves().tolist() if j in seen and seen[j][3] >= 2 * m.least_leaf and len(seen[j][2]) > 1]
         room = m.leaves - len(tree.leaves())
@@ -307,7 +317,7 @@ def _leaf_terms(tree: _Tree, size: int):
         for b in batches:
             if b.num_rows:
                 leaf = tree.descend(_vectors_of(b.column(1).to_pylist()))
-                term, doc = _flat(b.column(0).to_pylist(), np.int16)
+                term, doc = _flat(b.column(0).to_pylist(), np.int32)
                 on = term >= 0
                 n += np.bincount(leaf[doc[on]] * size + term[on], minlength=k * size)
         at = np.flatnonzero(n)
@@ -331,7 +341,7 @@ def _subject_terms(tag: np.ndarray, n_subjects: int):
         n = np.zeros((n_subjects, size))
         for b in batches:
             if b.num_rows:
-                term, doc = _flat(b.column(0).to_pylist(), np.int16)
+                term, doc = _flat(b.column(0).to_pylist(), np.int32)
                 seen = _mentions(term, doc, tag, b.num_rows, n_subjects).astype(np.float64)
                 mix = (seen**2) / np.maximum((seen**2).sum(axis=1, keepdims=True), 1e-9)
                 on = term >= 0
@@ -367,23 +377,44 @@ def discriminative(counts: np.ndarray, m: SubjectModel, first: bool = False) ->
     return np.where(good, top, -1)
 
 
-def _assign(tag: np.ndarray, tree: _Tree, leaf_subject: np.ndarray, subjects: list[str], m: SubjectModel):
+def _to_subjects(tag: np.ndarray, tree: _Tree, leaf_mixture: np.ndarray):
+    """Vector of a text's mentions of discriminative terms by subject, or of its leaf's mixture where it has none."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            term, doc = _flat(b.column(1).to_pylist(), np.int16)
-            seen = _mentions(term, doc, tag, b.num_rows, len(subjects))
-            total = seen.sum(axis=1)
-            chosen = (seen >= m.substantial * total[:, None]) & (seen > 0)
-            none = np.flatnonzero(total == 0)
+            term, doc = _flat(b.column(1).to_pylist(), np.int32)
+            seen = _mentions(term, doc, tag, b.num_rows, leaf_mixture.shape[1]).astype(np.float64)
+            none = np.flatnonzero(seen.sum(axis=1) == 0)
             if len(none):
-                leaf = tree.descend(_vectors_of(b.column(2).take(pa.array(none)).to_pylist()))
-                chosen[none, leaf_subject[leaf]] = True
-            none_too = np.flatnonzero((total > 0) & ~chosen.any(axis=1))
-            chosen[none_too, np.argmax(seen[none_too], axis=1)] = True
-            d, s = np.nonzero(chosen)
-            yield pa.record_batch([b.column(0).take(pa.array(d)), pa.array([subjects[k] for k in s], pa.string())], names=["digest", "subject"])
+                seen[none] = leaf_mixture[tree.descend(_vectors_of(b.column(2).take(pa.array(none)).to_pylist()))]
+            vec = (seen / np.maximum(np.linalg.norm(seen, axis=1, keepdims=True), 1e-9)).astype(np.float16)
+            yield pa.record_batch([b.column(0), pa.array([v.tobytes() for v in vec], pa.binary()), b.column(3)], names=["digest", "vec", "n"])
+
+    return run
+
+
+def mixtures(x: np.ndarray, centroids: np.ndarray, sharpness: float) -> np.ndarray:
+    """Mixture of subjects of each vector: those of the leaves, weighted by how near they are."""
+    like = x @ centroids.T
+    weight = np.exp(sharpness * (like - like.max(axis=1, keepdims=True)))
+    share = np.maximum(centroids, 0) / np.maximum(np.maximum(centroids, 0).sum(axis=1, keepdims=True), 1e-9)
+    return (weight / weight.sum(axis=1, keepdims=True)) @ share
+
+
+def _assign(tree: _Tree, subjects: list[str], m: SubjectModel):
+    centroids = tree.centroids[tree.leaves()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 4000):
+                part = b.slice(at, 4000)
+                share = mixtures(_vectors_of(part.column(1).to_pylist()), centroids, m.sharpness)
+                chosen = share >= m.substantial
+                chosen[np.arange(len(share)), np.argmax(share, axis=1)] = True
+                d, s = np.nonzero(chosen)
+                yield pa.record_batch([part.column(0).take(pa.array(d)), pa.array([subjects[k] for k in s], pa.string())], names=["digest", "subject"])
 
     return run
 
@@ -460,7 +491,7 @@ def document_subjects(docs: DataFrame, areas: DataFrame, labels: DataFrame, m: S
         x = _vectors_of([v for v, _, _, _ in told])
         which, weight = np.array([k for _, _, k, _ in told]), np.array([w for _, _, _, w in told])
         for _, terms, k, w in told:
-            t = np.unique(np.frombuffer(terms, dtype=np.int16))
+            t = np.unique(np.frombuffer(terms, dtype=np.int32))
             labelled[k, t[t >= 0]] += w
         at = tree.descend(x)
         np.add.at(votes, (at, which), weight)
@@ -480,10 +511,12 @@ def document_subjects(docs: DataFrame, areas: DataFrame, labels: DataFrame, m: S
     for _ in range(2):
         rows = vectors.select("terms").mapInArrow(_subject_terms(tag, len(subjects)), "part bigint, term bigint, n double")
         tag = discriminative(_term_matrix(rows, len(subjects), len(codes)), m)
-    # a leaf is labelled by the discriminative terms it has most
     by_terms = np.stack([in_leaf[:, tag == k].sum(axis=1) for k in range(len(subjects))], axis=1)
-    leaf_subject = np.argmax(np.where(by_terms.sum(axis=1, keepdims=True) > 0, by_terms, votes), axis=1)
-    assigned = vectors.select("digest", "terms", "vec").mapInArrow(_assign(tag, tree, leaf_subject, subjects, m), "digest binary, subject string")
+    first = np.where(by_terms.sum(axis=1, keepdims=True) > 0, by_terms, np.where(votes.sum(axis=1, keepdims=True) > 0, votes, 1.0))
+    first = first / first.sum(axis=1, keepdims=True)
+    shares = stage(vectors.select("digest", "terms", "vec", "n").mapInArrow(_to_subjects(tag, tree, first), "digest binary, vec binary, n bigint"), "subject-vectors")
+    fine, _ = bisecting_kmeans(shares, len(subjects), replace(m, leaves=m.mixture_leaves, least_leaf=1))
+    assigned = shares.select("digest", "vec").mapInArrow(_assign(fine, subjects, m), "digest binary, subject string")
     # one text may have copies in a large part of all documents
     of_text = assigned.groupBy("digest").agg(F.collect_set("subject").alias("all"))
     parts = salted_join(read.select("doc_id", "digest"), of_text, ["digest"], F.col("doc_id"), "inner")

@@ -317,3 +317,26 @@ def test_leaf_of_equal_vectors_is_split(spark):
     rows = [(bytearray(f"{k}".encode()), vec(int(k % 500 == 0)), 1) for k in range(2000)]
     _, sizes = bisecting_kmeans(spark.createDataFrame(rows, "digest binary, vec binary, n bigint"), 4, SubjectModel())
     assert sorted(sizes.values()) == [4, 1996]
+
+
+def test_subjects_come_from_leaf_mixtures():
+    import numpy as np
+
+    from quernix.llm.subjects import mixtures
+
+    # own mentions are 0.87 and 0.13; the leaf near it says what part the second subject has
+    x = np.array([[0.989, 0.148]], dtype=np.float32)
+    of = lambda *leaves: mixtures(x, np.array(leaves, dtype=np.float32), 50.0)[0].tolist()
+    assert of([1.0, 0.0], [0.0, 1.0]) == pytest.approx([1.0, 0.0], abs=1e-6)
+    assert of([0.8, 0.6], [0.0, 1.0]) == pytest.approx([0.571, 0.429], abs=1e-3)
+    assert 0.6 < of([1.0, 0.0], [0.95, 0.31])[0] < 1.0
+
+
+def test_subjects_of_mixed_documents(spark):
+    rows, areas, labels = _law_and_food(spark)
+    mixed = [(500 + k, f"{rows[k][1]} {rows[40 + k][1]}") for k in range(10)]
+    docs = spark.createDataFrame(rows + mixed, "doc_id bigint, text string")
+    found = defaultdict(set)
+    for r in document_subjects(docs, areas, labels).collect():
+        found[r.doc_id].add(r.subject)
+    assert all(found[d] == {"law", "food"} for d, _ in mixed) and all(len(found[d]) == 1 for d, _ in rows)
