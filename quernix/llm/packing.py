@@ -11,6 +11,7 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,34 +44,45 @@ class _Stock:
 
 
 class _PairSums:
-    """For each sum, lengths a <= b in stock with a + b equal to it; looked up among the lengths still left."""
+    """For each sum, lengths a <= b in stock with a + b equal to it. A pair that is used up never comes back, so the
+    place from which a sum goes on looking for a only falls; that place is all that is kept."""
 
-    def __init__(self, stock: _Stock) -> None:
+    def __init__(self, stock: _Stock, capacity: int) -> None:
         self.stock = stock
-        self.index: dict[int, list[int]] = {}
-        ls = stock.left
-        for i, a in enumerate(ls):
-            for b in ls[i:]:
-                if a + b >= len(stock.n):
-                    break
-                self.index.setdefault(a + b, []).append(a)
+        self.has = np.zeros(capacity + 1, dtype=bool)
+        self.has[stock.left] = True
+        self.upto = np.arange(capacity + 1) // 2
 
     def find(self, total: int, held: tuple[int, ...]) -> tuple[int, int] | None:
-        firsts = self.index.get(total, [])
-        while firsts:
-            a = firsts[-1]
-            b = total - a
-            if self.stock.times((a, b)) == 0:
-                firsts.pop()
-                continue
-            if self.stock.times((*held, a, b)):
-                return a, b
-            break
-        for a in reversed(firsts):
-            if self.stock.times((*held, a, total - a)):
-                return a, total - a
+        n, has, top = self.stock.n, self.has, int(self.upto[total])
+        while top:
+            # a from top down: both a and total - a are in stock
+            both = has[top:0:-1] & has[total - top : total]
+            k = int(both.argmax())
+            if not both[k]:
+                top = 0
+                break
+            top -= k
+            if self.stock.times((top, total - top)):
+                break
+            if not n[top]:
+                has[top] = False
+            elif not n[total - top]:
+                has[total - top] = False
+            else:
+                top -= 1  # two of one length, of which one is left
+        self.upto[total] = top
+        for k in np.flatnonzero(has[top:0:-1] & has[total - top : total]).tolist():
+            if self.stock.times((*held, top - k, total - top + k)):
+                return top - k, total - top + k
         return None
 
+    def thirds(self, gap: int) -> list[int]:
+        """Lengths below gap, longest first, beside which a pair may still fill it."""
+        if gap < 3:
+            return []
+        return (gap - 1 - np.flatnonzero(self.has[gap - 1 : 0 : -1] & (self.upto[1:gap] > 0))).tolist()
+
 
 def plan_containers(counts: dict[int, int], capacity: int) -> list[Pattern]:
     """Patterns that hold every item of counts (length to number; lengths from 1 to capacity), none over capacity.
@@ -82,7 +94,7 @@ def plan_containers(counts: dict[int, int], capacity: int) -> list[Pattern]:
     if stock.n[capacity]:
         done.append(Pattern((capacity,), stock.n[capacity]))
         stock.take((capacity,), stock.n[capacity])
-    sums = _PairSums(stock)
+    sums = _PairSums(stock, capacity)
     residual: dict[int, int] = {}
     while stock.left:
         x = stock.left[-1]
@@ -91,7 +103,7 @@ def plan_containers(counts: dict[int, int], capacity: int) -> list[Pattern]:
         if filled is None and (two := sums.find(gap, (x,))):
             filled = (x, *two)
         if filled is None:
-            for c in reversed(stock.left[: bisect_left(stock.left, gap)]):
+            for c in sums.thirds(gap):
                 if stock.times((x, c)) and (two := sums.find(gap - c, (x, c))):
                     filled = (x, c, *two)
                     break
@@ -144,33 +156,40 @@ def plan_rows(plan: list[Pattern]) -> list[tuple[int, int, int, int, int]]:
     return rows
 
 
-def pack(df: DataFrame, id_col: str, size_col: str, capacity: int, salts: int = 64) -> DataFrame:
+#: Items of a length that are ranked together in a task, and plan rows up to which the plan is sent to all executors.
+RANKED_TOGETHER, BROADCAST_PLAN = 50_000, 500_000
+
+
+def pack(df: DataFrame, id_col: str, size_col: str, capacity: int, together: int = RANKED_TOGETHER) -> DataFrame:
     """(id, piece, size, container_id) for every item of df, its pieces numbered from 0.
 
     Only an item larger than capacity is divided: full pieces, each alone in a container, and one rest that is packed
-    like an item. Container ids are 0, 1, 2, ... without gaps; no container holds more than capacity.
+    like an item. Container ids are 0, 1, 2, ... without gaps; no container holds more than capacity. Items of a length
+    are ranked in parts of about `together`; their number follows from the counts.
     Defined cases: a null or not positive size takes no room and gets piece 0, size 0 and a null container; repeated
-    rows are separate items; items of equal size are ranked by id within salted parts, so the result is the same on
-    every run as long as ids are unique; an empty table gives an empty one; other columns are left out.
+    rows are separate items; items of equal size are ranked by id within parts of their hash, so the result is the same
+    on every run as long as ids are unique; an empty table gives an empty one; other columns are left out.
     """
     spark = df.sparkSession
     size = F.greatest(F.coalesce(F.col(size_col).cast("bigint"), F.lit(0)), F.lit(0))
     items = df.select(F.col(id_col).alias("id"), size.alias("total"))
     pieces = F.expr(f"""CASE WHEN total <= {capacity} THEN array(struct(0L AS piece, total AS size))
         ELSE transform(sequence(0L, CAST((total - 1) div {capacity} AS BIGINT)), k -> struct(k AS piece, least({capacity}L, total - k * {capacity}L) AS size)) END""")
-    pieces = items.select("id", F.inline(pieces)).withColumn("salt", F.pmod(F.xxhash64("id", "piece"), F.lit(salts)).cast("int"))
-    pieces = stage(pieces, "pieces")
+    pieces = stage(items.select("id", F.inline(pieces)), "pieces")
     held = pieces.where("size > 0")
-    # at most capacity x salts rows
-    parts = held.groupBy("size", "salt").agg(F.count(F.lit(1)).alias("n"))
-    parts = parts.select("size", "salt", "n", (F.sum("n").over(Window.partitionBy("size").orderBy("salt")) - F.col("n")).alias("offset"))
-    counts = {r["size"]: r["n"] for r in parts.groupBy("size").agg(F.sum("n").alias("n")).collect()}
+    # as many rows as there are lengths, capacity at most
+    counts = {r["size"]: r["n"] for r in held.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}
+    lengths = spark.createDataFrame([(x, 1 + n // together) for x, n in counts.items()] or [(0, 1)], "size bigint, salts bigint")
+    salted = held.join(F.broadcast(lengths), "size").withColumn("salt", F.pmod(F.xxhash64("id", "piece"), F.col("salts"))).drop("salts")
+    parts = salted.groupBy("size", "salt").agg(F.count(F.lit(1)).alias("n"))
+    parts = parts.select("size", "salt", (F.sum("n").over(Window.partitionBy("size").orderBy("salt")) - F.col("n")).alias("offset"))
     rows = plan_rows(plan_containers(counts, capacity))
     plan = spark.createDataFrame(rows or [(0, 0, -1, 0, 1)], "size bigint, first_rank bigint, last_rank bigint, first_container bigint, containers bigint")
-    ranked = held.withColumn("k", F.row_number().over(Window.partitionBy("size", "salt").orderBy("id", "piece")) - 1)
-    ranked = ranked.join(F.broadcast(parts.select("size", "salt", "offset")), ["size", "salt"]).withColumn("rank", F.col("k") + F.col("offset"))
+    # rows stay where the window has put them
+    ranked = salted.withColumn("k", F.row_number().over(Window.partitionBy("size", "salt").orderBy("id", "piece")) - 1)
+    ranked = ranked.join(parts, ["size", "salt"]).withColumn("rank", F.col("k") + F.col("offset"))
     # a length has few plan rows; they are found by equality of size and a range of ranks
-    placed = ranked.join(F.broadcast(plan), "size").where("rank between first_rank and last_rank")
+    placed = ranked.join(F.broadcast(plan) if len(rows) <= BROADCAST_PLAN else plan, "size").where("rank between first_rank and last_rank")
     placed = placed.select("id", "piece", "size", (F.col("first_container") + (F.col("rank") - F.col("first_rank")) % F.col("containers")).alias("container_id"))
     none = pieces.where("size = 0").select("id", "piece", "size", F.lit(None).cast("bigint").alias("container_id"))
     return placed.unionByName(none).withColumnRenamed("id", id_col)
