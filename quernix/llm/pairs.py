@@ -18,34 +18,42 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quernix.functions.words import fold, split_words, words
+from quernix.operators.skew import salted_join
 from quernix.runtime import ship, stage
 
 STAND_INS = frozenset(
     "null none nil nan na tbd tba todo nooutput nooutputs empty noanswer noresponse noreply undefined notavailable unknown missing blank novalue notapplicable nodata noresult nocontent keineantwort leer sansréponse vide sinrespuesta vacío".split()
 )
-REFUSALS = (
-    # English
-    "can't help", "cannot help", "can not help", "can't assist", "cannot assist", "unable to assist", "unable to help", "not able to help", "not able to assist", "have to decline", "must decline", "need to decline",
-    "i decline", "turn this down", "turn that down", "rather not", "not allowed to", "not permitted to", "won't be able to", "will not be able to", "not something i can", "no answer can be given", "ask somebody else",
-    "ask someone else", "do not handle such", "don't handle such", "can't comply", "cannot comply", "i refuse", "can't provide", "cannot provide", "can't answer", "cannot answer", "can't discuss", "cannot discuss",
-    "won't help", "will not help", "can't do that for you", "cannot do that for you", "not comfortable", "can't fulfil", "cannot fulfil", "unable to answer", "unable to provide", "unable to comply",
-    # German
-    "nicht helfen", "nicht weiterhelfen", "das ablehnen", "muss ablehnen", "nicht beantworten", "nicht erlaubt", "nicht gestattet", "keine auskunft", "keine antwort geben", "nicht in der lage", "dazu nichts sagen",
-    # French
-    "ne peux pas vous aider", "ne peux pas t'aider", "dois décliner", "dois refuser", "impossible de répondre", "ne peux pas répondre", "ne suis pas en mesure", "pas autorisé", "je refuse", "impossible de vous aider", "ne suis pas autorisé",
-    # Spanish
-    "no puedo ayudar", "tengo que negarme", "debo negarme", "no me está permitido", "no puedo responder", "debo rechazar", "tengo que rechazar", "no estoy autorizad", "no me es posible", "no puedo contestar",
-)
-COURTESIES = (
-    "hope you understand", "thank you for", "thanks for", "my guidelines", "is there anything else", "please consult", "qualified person", "professional", "sorry", "apologise", "apologize", "unfortunately", "regrettably",
-    "wende dich", "fachperson", "um verständnis", "tut mir leid", "danke für", "leider", "merci de", "merci pour", "compréhension", "personne qualifiée", "veuillez consulter", "désolé", "malheureusement",
-    "gracias por", "comprensión", "consulta a", "persona cualificada", "lo siento", "lamentablemente", "automated helper", "be honest", "some thought",
-)
+#: Ways to decline, per language: what can't or mustn't be done (every start with every verb), and set phrases.
+_DECLINING = {
+    "en": (
+        ("can't", "cannot", "can not", "won't", "will not", "unable to", "not able to", "won't be able to", "not be able to", "do not", "don't", "not in a position to", "not going to"),
+        ("help", "assist", "answer", "provide", "comply", "discuss", "fulfil", "handle", "advise", "engage", "give guidance", "give an answer", "take part", "do that for you", "do this for you", "respond"),
+        ("to decline", "must decline", "i decline", "i refuse", "to refuse", "must refuse", "not allowed to", "not permitted to", "rather not", "not comfortable", "turn this down", "turn that down", "turn it down", "against my", "no answer", "ask someone else", "ask somebody else", "not something i"),
+    ),
+    "de": (
+        ("nicht", "nicht weiter", "keine", "dazu nichts", "darüber nichts"),
+        ("helfen", "weiterhelfen", "beantworten", "antworten", "erlaubt", "gestattet", "auskunft", "antwort geben", "hilfe", "unterstützen", "in der lage", "sagen"),
+        ("ablehnen", "verweigern", "muss passen", "lehne das ab", "lehne ich ab"),
+    ),
+    "fr": (
+        ("ne peux pas", "ne puis", "ne suis pas en mesure", "impossible de", "ne suis pas autorisé à", "ne suis pas autorisée à", "ne saurais"),
+        ("vous aider", "t'aider", "aider", "répondre", "donner", "fournir", "traiter", "vous répondre", "te répondre", "assister"),
+        ("décliner", "dois refuser", "je refuse", "de refuser", "pas autorisé", "pas en mesure", "pas le droit"),
+    ),
+    "es": (
+        ("no puedo", "no me es posible", "no podré", "no voy a", "no soy capaz de", "no estoy en condiciones de", "no sé"),
+        ("ayudar", "ayudarte", "ayudarle", "responder", "contestar", "dar", "proporcionar", "atender", "hacerlo", "hacer eso"),
+        ("negarme", "rechazar", "rehusar", "no estoy autorizad", "no me está permitido", "no se me permite", "me niego", "declinar"),
+    ),
+}
+REFUSALS = tuple(sorted({x for starts, verbs, fixed in _DECLINING.values() for x in (*(f"{s} {v}" for s in starts for v in verbs), *fixed)}))
+#: Function words: articles, pronouns, prepositions, conjunctions, auxiliaries and their like.
 STOPWORDS = {
-    "en": "the a an and or of to in is are was were be it its this that these those with for from on at by as not no yes you your i we they how what which why when where can could should would will do does have has had if then than but both none them one first second older newer please there here only any all so because keeps each after before most likely use done step rows fine".split(),
-    "de": "der die das den dem des ein eine einer eines einem einen und oder von zu zum zur im ist sind war wird werden es dies diese dieser dieses mit für aus auf an bei als nicht nein ja du dein ich wir sie wie was welche welcher warum wann wo kann soll sollte hat haben wenn dann aber beides keine erste zweite älter neuer bitte nur alle so weil nach vor bleibt über einmal zuerst danach ihn schritt geht dabei dazu doch auch".split(),
-    "fr": "le la les l un une des du de et ou à au aux dans est sont était être il elle ce cet cette ces avec pour par sur sous ne pas non oui vous votre je nous ils comment que quoi quel quelle pourquoi quand où peut faut si puis mais les deux aucun premier deuxième plus ancien récent s'il seulement tout tous car après avant reste d qui se sa son en faites une fois étape conviennent jusqu ainsi lancez".split(),
-    "es": "el la los las un una unos unas y o de del al en es son era ser lo este esta esto estos con para por sobre no sí tu su yo se cómo qué cuál cuáles por cuando cuándo dónde puede debe si luego pero ambos ninguno primero segundo más antiguo nuevo solo todo todos porque después antes queda que así haz una vez paso sirven dos hasta".split(),
+    "en": "the a an and or but nor so yet if then than because while of to in into on onto at by for from with without about over under after before between through during against is are was were be been being am do does did done has have had having can could should would will shall may might must i you he she it we they me him her us them my your his its our their this that these those who whom whose which what when where why how there here not no yes all any both each few many more most much none only other some such same own too very just also already again once now ever never please else like up down out off".split(),
+    "de": "der die das den dem des ein eine einen einem einer eines kein keine keinen und oder aber denn sondern wenn weil dass ob als wie so dann doch von zu zum zur im in ins an am ans auf aus bei beim mit nach vor über unter durch für gegen ohne um bis seit zwischen ist sind war waren wird werden wurde sein bin hat haben hatte kann können soll sollte sollen muss müssen darf will möchte ich du er sie es wir ihr mich dich ihn uns euch mir dir ihm ihnen mein dein unser dieser diese dieses diesen diesem welche welcher welches was wer wo wann warum wie nicht nein ja nur auch noch schon sehr mehr alle alles jede jeder jedes beide beides man sich hier dort da dabei dazu danach davor daran damit einmal bitte immer zuerst".split(),
+    "fr": "le la les l un une des du de d et ou mais donc car ni or que qui quoi dont où quand comment pourquoi quel quelle quels quelles à au aux dans en sur sous par pour avec sans vers chez entre avant après depuis pendant contre est sont était étaient être été sera suis es a ont avait avoir ai peut peuvent faut doit dois devez je j tu il elle on nous vous ils elles me m te t se s lui leur y mon ma mes ton ta tes son sa ses notre nos votre vos ce c cet cette ces ne n pas non oui plus moins très tout toute tous toutes aucun aucune autre autres même si puis ainsi aussi alors encore seulement deux ici là fois chaque".split(),
+    "es": "el la los las lo un una unos unas y e o u pero sino porque que quien cual cuál cuáles cuando cuándo donde dónde como cómo qué por para con sin de del a al en sobre bajo entre hasta desde hacia contra según durante antes después es son era eran ser está están estar fue sido soy ha han había haber hay he puede pueden puedo debe deben debo tiene tienen yo tú él ella ello nosotros ellos ellas usted ustedes me te se le les nos mi mis tu tus su sus nuestro este esta esto estos estas ese esa eso esos esas no sí ni más menos muy todo toda todos todas ambos ambas ninguno ninguna otro otra mismo si luego así también ya aún solo sólo aquí allí cada vez".split(),
 }
 LANGUAGE_NAMES = {
     "en": "english englisch englische englischer anglais inglés ingles".split(),
@@ -53,12 +61,12 @@ LANGUAGE_NAMES = {
     "fr": "french französisch französische français francais francés frances".split(),
     "es": "spanish spanisch spanische espagnol español espanol castellano".split(),
 }
-_VOTES: dict[str, set[str]] = {}
+_VOTES: dict[str, frozenset[str]] = {}
 for _language, _list in STOPWORDS.items():
     for _w in _list:
-        _VOTES.setdefault(_w, set()).add(_language)
+        _VOTES[_w] = _VOTES.get(_w, frozenset()) | {_language}
 
-_TAG = re.compile(r"</?\w[^<>]{0,60}>")
+_TAG = re.compile(r"</?\w[^<>]*>")
 _FENCE_LINE = re.compile(r"```\w*")
 _FENCED = re.compile(r"```.*?(?:```|\Z)", re.S)
 _INLINE = re.compile(r"`[^`\n]*`")
@@ -154,26 +162,34 @@ def is_empty(answer: str) -> bool:
     return not core or core in STAND_INS
 
 
-_MARKUP = str.maketrans({"’": "'", "`": "'", "*": " ", "_": " ", "#": " ", ">": " ", '"': " "})
+_MARKUP = (("’", "'"), ("`", "'"), *((x, " ") for x in '*_#>"'))
 _SPACING = re.compile(r"[^\S\n]{2,}|[^\S\n ]")
+#: Words of a sentence that declines, and of one beside it that only is polite, at most.
+_LONGEST_DECLINING, _LONGEST_COURTESY = 24, 14
 
 
-def is_refusal(folded: str, refusals: ahocorasick.Automaton, courtesies: ahocorasick.Automaton) -> bool:
-    """Declines, and every sentence of it is part of declining or a courtesy. folded: the answer in folded form."""
+def is_refusal(folded: str, asked: list[str], refusals: ahocorasick.Automaton) -> bool:
+    """Declines, and no sentence of it answers anything: each declines, or is short and takes up nothing of the question,
+    as thanks, regrets and advice to go elsewhere do. folded: the answer in folded form; asked: words of the question."""
     # typographic apostrophes, markup and odd spacing don't count; sentence marks and line ends do
-    text = _SPACING.sub(" ", folded.translate(_MARKUP))
+    text = folded
+    for mark, instead in _MARKUP:
+        text = text.replace(mark, instead)
+    text = _SPACING.sub(" ", text)
     if not next(refusals.iter(text), None):
         return False
+    matter = {w for w in asked if w not in _VOTES and len(w) > 1}
     for sentence in _SENTENCES.split(text):
-        if not re.search(r"\w", sentence):
-            continue
-        hits = list(refusals.iter(sentence))
-        spent = sum(len(p.split()) for _, p in hits)
-        if hits and len(sentence.split()) - spent <= 18 and not _PATH.search(sentence):
-            continue
-        if not hits and (next(courtesies.iter(sentence), None) and len(sentence.split()) <= 14):
+        ws = split_words(sentence)
+        if not ws:
             continue
-        return False
+        if _PATH.search(sentence) or any(w.isdecimal() for w in ws):
+            return False
+        if next(refusals.iter(sentence), None):
+            if len(ws) > _LONGEST_DECLINING:
+                return False
+        elif len(ws) > _LONGEST_COURTESY or matter.intersection(ws):
+            return False
     return True
 
 
@@ -214,9 +230,9 @@ def languages(text: str) -> Counter:
 
 def _votes(ws: list[str]) -> Counter:
     votes: Counter = Counter()
-    for who in filter(None, map(_VOTES.get, ws)):
+    for who, n in Counter(filter(None, map(_VOTES.get, ws))).items():
         for language in who:
-            votes[language] += 1 / len(who)
+            votes[language] += n / len(who)
     return votes
 
 
@@ -317,55 +333,75 @@ def _shape(ws: list[str]) -> list[str]:
     return [_DIGITS.sub("9", w) for w in ws]
 
 
-def end_counts(answers: list[str]) -> tuple[Counter, Counter]:
-    """How often each (previous word, word) ends a sentence or line, and how often it occurs at all. The unpunctuated
-    end of a text itself counts as neither."""
+def count_ends(folded: str, ends: Counter, every: Counter) -> None:
+    """Adds how often each (previous word, word) ends a sentence or line of an answer in folded form, and how often it
+    occurs at all. The unpunctuated end of the text itself counts as neither."""
+    parts = _END.split(_DIGITS.sub("9", folded))
+    for k, part in enumerate(parts):
+        ws = split_words(part)
+        if ws:
+            pairs = list(zip(["", *ws], ws, strict=False))
+            if k < len(parts) - 1:
+                ends[pairs[-1]] += 1
+            else:
+                pairs.pop()
+            every.update(pairs)
+
+
+def judge(question: str | None, answer: str | None, folded: str, refusals: ahocorasick.Automaton) -> tuple[str | None, str | None]:
+    """(defect, tail) of a pair; tail as in loose_end, where only other answers can tell. folded: the answer folded."""
+    if answer is None or is_empty(answer):
+        return "empty", None
+    question = question or ""
+    asked, said = words(question), split_words(folded)
+    if is_copy(answer, asked, said):
+        return "copy", None
+    if is_refusal(folded, asked, refusals):
+        return "refusal", None
+    if _speaks_otherwise(question, answer, asked, said):
+        return "other_language", None
+    if open_structure(answer):
+        return "truncated", None
+    broken, tail = loose_end(answer)
+    return ("truncated", None) if broken else (None, tail)
+
+
+#: Pairs of words that a task counts before it hands them on.
+_COUNTED_TOGETHER = 300_000
+_JUDGED = "turn bigint, defect string, kind string, before string, word string, ends bigint, n bigint"
+
+
+def _inspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In one pass: a row of each pair that has a defect or a tail, and rows with n of the ends of sentences and lines."""
+    refusals = _automaton(REFUSALS)
+    names = ["trial_name", *(x.split()[0] for x in _JUDGED.split(", "))]
     ends: Counter = Counter()
     every: Counter = Counter()
-    for text in answers:
-        parts = _END.split(_DIGITS.sub("9", fold(text)))
-        for k, part in enumerate(parts):
-            ws = split_words(part)
-            if ws:
-                pairs = list(zip(["", *ws], ws, strict=False))
-                if k < len(parts) - 1:
-                    ends[pairs[-1]] += 1
-                else:
-                    pairs.pop()
-                every.update(pairs)
-    return ends, every
+    kind = None
 
+    def counts() -> pa.RecordBatch:
+        none = [pa.nulls(len(every), t) for t in (kind, pa.int64(), pa.string(), pa.string())]
+        keys = list(every)
+        out = [*none, pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([ends[k] for k in keys], pa.int64()), pa.array(list(every.values()), pa.int64())]
+        return pa.RecordBatch.from_arrays(out, names=names)
 
-def _inspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    refusals, courtesies = _automaton(REFUSALS), _automaton(COURTESIES)
     for b in batches:
-        defects, tails = [], []
-        for q, a in zip(b.column("question").to_pylist(), b.column("answer").to_pylist(), strict=True):
-            defect, tail = None, None
-            if a is None or is_empty(a):
-                defect = "empty"
-            else:
-                q = q or ""
-                folded = fold(a)
-                asked, said = words(q), split_words(folded)
-                if is_copy(a, asked, said):
-                    defect = "copy"
-                elif is_refusal(folded, refusals, courtesies):
-                    defect = "refusal"
-                elif _speaks_otherwise(q, a, asked, said):
-                    defect = "other_language"
-                elif open_structure(a):
-                    defect = "truncated"
-                else:
-                    broken, tail = loose_end(a)
-                    defect = "truncated" if broken else None
-            defects.append(defect)
-            tails.append(tail)
-        parts = [t.split("\t") if t else (None, None, None) for t in tails]
-        yield pa.RecordBatch.from_arrays(
-            [b.column("trial_name"), b.column("turn"), pa.array(defects, pa.string()), *(pa.array([p[k] for p in parts], pa.string()) for k in range(3))],
-            names=["trial_name", "turn", "defect", "kind", "before", "word"],
-        )
+        kind, told = b.column("trial_name").type, []
+        for k, (q, a) in enumerate(zip(b.column("question").to_pylist(), b.column("answer").to_pylist(), strict=True)):
+            folded = fold(a) if a else ""
+            count_ends(folded, ends, every)
+            defect, tail = judge(q, a, folded, refusals)
+            if defect or tail:
+                told.append((k, defect, *(tail.split("\t") if tail else (None, None, None))))
+        at = pa.array([t[0] for t in told], pa.int64())
+        strings = [pa.array([t[k] for t in told], pa.string()) for k in range(1, 5)]
+        yield pa.RecordBatch.from_arrays([b.column("trial_name").take(at), b.column("turn").take(at), *strings, pa.nulls(len(told), pa.int64()), pa.nulls(len(told), pa.int64())], names=names)
+        if len(every) > _COUNTED_TOGETHER:
+            yield counts()
+            ends.clear()
+            every.clear()
+    if every:
+        yield counts()
 
 
 def _speaks_otherwise(question: str, answer: str, asked: list[str], said: list[str]) -> bool:
@@ -382,16 +418,6 @@ def _without_copy(answer: str, asked: list[str]) -> str:
     return "\n".join(lines) if any(words(x) for x in lines) else answer
 
 
-def _count_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        ends, every = end_counts([x for x in b.column(0).to_pylist() if x is not None])
-        keys = list(every)
-        yield pa.record_batch(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([ends[k] for k in keys], pa.int64()), pa.array(list(every.values()), pa.int64())],
-            names=["before", "word", "ends", "n"],
-        )
-
-
 #: Share of its other occurrences in which the last words have to end a sentence or line for the end to be complete.
 LEAST_END_SHARE = 0.15
 
@@ -413,17 +439,20 @@ def defective_pairs(df: DataFrame, id_col: str, turns: str) -> DataFrame:
         .select("trial_name", F.explode(F.expr("transform(filter(sequence(1, size(m) - 1), i -> m[i].role = 'assistant' AND m[i - 1].role = 'user'), i -> struct(CAST(i AS BIGINT) AS turn, m[i - 1].content AS question, m[i].content AS answer))")).alias("p"))
         .select("trial_name", "p.turn", "p.question", "p.answer")
     )
-    # both are read twice below, and small against the texts
-    judged = stage(pairs.mapInArrow(_inspect, f"trial_name {df.select(id_col).schema[0].dataType.simpleString()}, turn bigint, defect string, kind string, before string, word string"), "judged")
+    kind = df.select(id_col).schema[0].dataType.simpleString()
+    seen = stage(pairs.mapInArrow(_inspect, f"trial_name {kind}, {_JUDGED}"), "judged")
+    judged = seen.where("n is null")
     sure = judged.where("defect is not null").select("trial_name", "turn", "defect")
-    loose = judged.where("defect is null and word is not null")
-    ends = pairs.select("answer").mapInArrow(_count_ends, "before string, word string, ends bigint, n bigint")
-    pair_ends = stage(ends.groupBy("before", "word").agg(F.sum("ends").alias("pe"), F.sum("n").alias("pn")), "ends")
+    loose = judged.where("defect is null").select("trial_name", "turn", "kind", "before", "word")
+    pair_ends = stage(seen.where("n is not null").groupBy("before", "word").agg(F.sum("ends").alias("pe"), F.sum("n").alias("pn")), "ends")
     word_ends = pair_ends.groupBy("word").agg(F.sum("pe").alias("we"), F.sum("pn").alias("wn"))
     before_ends = pair_ends.groupBy("before").agg(F.sum("pe").alias("be"), F.sum("pn").alias("bn"))
-    told = loose.join(pair_ends, ["before", "word"], "left").join(word_ends, "word", "left").join(before_ends, "before", "left")
+    # judged once for each end, however many answers have it
+    tails = loose.select("kind", "before", "word").distinct()
+    told = tails.join(pair_ends, ["before", "word"], "left").join(word_ends, "word", "left").join(before_ends, "before", "left")
     # a last word that is hardly known is told by what follows the word before it
     unknown = F.when(F.col("kind") == "p", 0.0).when(F.col("bn") >= 3, F.col("be") / F.col("bn")).otherwise(1.0)
     share = F.when(F.col("pn") >= 3, F.col("pe") / F.col("pn")).when(F.col("wn") >= 3, F.col("we") / F.col("wn")).otherwise(unknown)
-    cut = told.where(share < LEAST_END_SHARE).select("trial_name", "turn", F.lit("truncated").alias("defect"))
+    cut_tails = told.where(share < LEAST_END_SHARE).select("kind", "before", "word")
+    cut = salted_join(loose, cut_tails, ["kind", "before", "word"], F.xxhash64("trial_name", "turn"), "inner").select("trial_name", "turn", F.lit("truncated").alias("defect"))
     return sure.unionByName(cut).distinct().withColumnRenamed("trial_name", id_col)
