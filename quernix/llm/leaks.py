@@ -242,6 +242,6 @@ def find_leaks(corpus: DataFrame, items: DataFrame, least: int = 10) -> DataFram
     return best.select("corpus", "record_id", "task_id", "m.n_words", (-F.col("m.t")).alias("text_word"), (-F.col("m.i")).alias("item_word"))
 
 
-def remove_leaked(corpus: DataFrame, leaks: DataFrame, key: str = "record_id") -> DataFrame:
-    """The records of corpus without a leak."""
-    return corpus.join(leaks.select(F.col("record_id").alias(key)).distinct(), key, "left_anti")
+def remove_leaked(corpus: DataFrame, leaks: DataFrame, keys: tuple[str, ...] = ("corpus", "record_id")) -> DataFrame:
+    """The records of corpus without a leak; a record is told by its corpus and id together."""
+    return corpus.join(leaks.select(*keys).distinct(), list(keys), "left_anti")

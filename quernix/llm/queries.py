@@ -35,8 +35,9 @@ def p1_matches(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p1_clean(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("record_id"))
-    return remove_leaked(docs, _leaks(spark, sf).where("corpus = 'documents'"))
+    """The records of both corpora that nothing leaked into."""
+    records = _corpus(spark, sf).select("corpus", "record_id").where("record_id is not null").distinct()
+    return remove_leaked(records, _leaks(spark, sf))
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
