@@ -253,21 +253,32 @@ def _sum_leaves(tree: _Tree):
     return run
 
 
-def _merge_leaves(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One row of a node from those of all tasks."""
-    total = np.sum([np.frombuffer(x) for x in pdf["total"]], axis=0)
-    dims = len(total)
-    pool = sorted({(int(r), np.frombuffer(s, dtype=np.float32).reshape(-1, dims)[i].tobytes()) for rs, s in zip(pdf["ranks"], pdf["seeds"], strict=True) for i, r in enumerate(rs)})[:_SEEDS]
-    return pd.DataFrame({"node": [int(pdf["node"].iloc[0])], "n": [int(pdf["n"].sum())], "docs": [int(pdf["docs"].sum())], "total": [total.tobytes()], "ranks": [[r for r, _ in pool]], "seeds": [b"".join(s for _, s in pool)]})
+def _merge_leaves(t: pa.Table) -> pa.Table:
+    """One row for each of some nodes from those of all tasks."""
+    nodes, total = t.column("node").to_numpy(), np.stack([np.frombuffer(x) for x in t.column("total").to_pylist()])
+    ranks, seeds, n, docs = t.column("ranks").to_pylist(), t.column("seeds").to_pylist(), t.column("n").to_numpy(), t.column("docs").to_numpy()
+    size = 4 * total.shape[1]
+    rows = []
+    for node in np.unique(nodes).tolist():
+        on = np.flatnonzero(nodes == node)
+        pool = sorted({(r, seeds[i][k * size : (k + 1) * size]) for i in on.tolist() for k, r in enumerate(ranks[i])})[:_SEEDS]
+        rows.append((node, int(n[on].sum()), int(docs[on].sum()), total[on].sum(axis=0).tobytes(), [r for r, _ in pool], b"".join(v for _, v in pool)))
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary())
+    return pa.table({name: pa.array([r[k] for r in rows], kind) for k, (name, kind) in enumerate(zip(("node", "n", "docs", "total", "ranks", "seeds"), kinds, strict=True))})
 
 
 _NODE_SCHEMA = "node bigint, n bigint, docs bigint, total binary, ranks array<bigint>, seeds binary"
+#: Rows of tasks that are merged together, unless one node has more.
+_MERGED_TOGETHER = 20_000
 
 
 def _pass(vectors: DataFrame, tree: _Tree) -> dict[int, tuple[int, np.ndarray, np.ndarray, int]]:
     """Number of texts, sum, seeds and number of documents of every leaf; as many rows come to the driver as there are leaves."""
-    rows = vectors.select(F.xxhash64("vec").alias("rank"), "vec", "n").mapInArrow(_sum_leaves(tree), _NODE_SCHEMA)
-    got = rows.groupBy("node").applyInPandas(_merge_leaves, _NODE_SCHEMA).collect()
+    rows = vectors.select(F.xxhash64("vec").alias("rank"), "vec", "n")
+    nodes, tasks = len(tree.centroids), rows.rdd.getNumPartitions()
+    groups = min(nodes, max(4, nodes * tasks // _MERGED_TOGETHER))
+    of_tasks = rows.mapInArrow(_sum_leaves(tree), _NODE_SCHEMA).withColumn("g", F.pmod("node", F.lit(groups)))
+    got = of_tasks.groupBy("g").applyInArrow(_merge_leaves, _NODE_SCHEMA).collect()
     dims = tree.centroids.shape[1]
     return {r["node"]: (r["n"], np.frombuffer(r["total"]), np.frombuffer(r["seeds"], dtype=np.float32).reshape(-1, dims), r["docs"]) for r in got}
 
