@@ -103,7 +103,7 @@ def test_packed_table(spark):
     rng = random.Random(9)
     rows = [(k, rng.choice([0, None, 5, 100, 100, 250, 37, 1001, -3]) if k % 3 else rng.randrange(1, 100), "c") for k in range(900)] + [(5000, 1000, "c"), (5001, 100, None)]
     df = spark.createDataFrame(rows, "id bigint, n bigint, container_id string")
-    out = pack(df, "id", "n", 100, salts=5).collect()
+    out = pack(df, "id", "n", 100, together=7).collect()
     by_item, by_container = defaultdict(list), defaultdict(int)
     for r in out:
         by_item[r.id].append((r.piece, r.size, r.container_id))
@@ -118,7 +118,7 @@ def test_packed_table(spark):
             assert parts == [(0, 0, None)]
         else:
             assert len(parts) == -(-n // 100) and all(s == 100 for _, s, _ in parts[:-1])
-    again = pack(df.repartition(3), "id", "n", 100, salts=5).collect()
+    again = pack(df.repartition(3), "id", "n", 100, together=7).collect()
     assert sorted(map(tuple, out), key=str) == sorted(map(tuple, again), key=str)
     assert pack(df.where("false"), "id", "n", 100).count() == 0
 
@@ -340,3 +340,66 @@ def test_subjects_of_mixed_documents(spark):
     for r in document_subjects(docs, areas, labels).collect():
         found[r.doc_id].add(r.subject)
     assert all(found[d] == {"law", "food"} for d, _ in mixed) and all(len(found[d]) == 1 for d, _ in rows)
+
+
+def test_leak_in_one_corpus_leaves_the_same_id_of_another(spark):
+    item = "the quick brown fox jumps over the lazy dog near the old river bank"
+    corpus = spark.createDataFrame([("documents", "7", item), ("sft_messages", "7", "nothing of it"), ("sft_messages", "8", item)], "corpus string, record_id string, text string")
+    found = find_leaks(corpus, spark.createDataFrame([("t1", item)], "task_id string, instruction string"))
+    assert {tuple(r) for r in remove_leaked(corpus.select("corpus", "record_id"), found).collect()} == {("sft_messages", "7")}
+
+
+def test_plan_of_large_containers():
+    """Capacity 32,768 with items of every length: little memory, no container over capacity, hardly any room left."""
+    import tracemalloc
+
+    rng = random.Random(11)
+    counts = Counter(min(32_768, int(rng.lognormvariate(6.5, 1.4)) + 1) for _ in range(40_000))
+    tracemalloc.start()
+    plan = plan_containers(counts, 32_768)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    held: Counter = Counter()
+    for p in plan:
+        assert sum(p.lengths) <= 32_768
+        for x in p.lengths:
+            held[x] += p.containers
+    assert held == counts and peak < 200e6
+    assert sum(p.containers for p in plan) <= sum(x * n for x, n in counts.items()) / 32_768 * 1.01 + 2
+
+
+def test_many_items_of_one_length(spark):
+    df = spark.range(3000).selectExpr("id", "CASE WHEN id < 2000 THEN 300 ELSE 30 END AS n")
+    out = pack(df, "id", "n", 100, together=50).collect()
+    fill: Counter = Counter()
+    for r in out:
+        fill[r.container_id] += r.size
+    assert max(fill.values()) <= 100 and len(out) == 2000 * 3 + 1000 and len({(r.id, r.piece) for r in out}) == len(out)
+    assert sorted(fill) == list(range(6000 + 334))
+
+
+def test_long_words_by_the_merge_query(bpe, reference_tokenizer):
+    rng = random.Random(4)
+    texts = ["a" * 3000, "ab" * 700, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=1500)), "=" * 777, " " * 999 + "x", "ééé" * 200, "0123456789" * 90]
+    for text, ws in zip(texts, bpe.encode_batch(texts), strict=True):
+        assert [i for w in ws for i in w] == reference_tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_markup_of_any_length_is_empty():
+    assert is_empty('<div class="' + "x " * 200 + '"></div>') and not is_empty("<b>" + "x" * 90 + "</b>")
+
+
+REFUSALS_NOT_IN_ANY_LIST = [
+    "I'm sorry, but I cannot provide an answer to that.", "I will not assist with this one. Best of luck elsewhere.", "I'm afraid I'm not able to respond here.", "Sorry. I don't discuss such topics.",
+    "Das kann ich leider nicht beantworten. Alles Gute.", "Je refuse de traiter cette demande. Bonne journée.", "No voy a responder. Un saludo.",
+]
+ANSWERS_WITH_APOLOGY = ["Sorry, I cannot help with sed there, but awk does it. Split the lines at the comma and sum the second column.", "I can't provide the output itself. The invoice totals are in column 3."]
+
+
+def test_refusals_by_rule():
+    from quernix.functions.words import fold
+    from quernix.llm.pairs import REFUSALS, _automaton, is_refusal
+
+    refusals, asked = _automaton(REFUSALS), words("How do I sum the second column of the invoice with sed?")
+    assert all(is_refusal(fold(x), asked, refusals) for x in REFUSALS_NOT_IN_ANY_LIST)
+    assert not any(is_refusal(fold(x), asked, refusals) for x in ANSWERS_WITH_APOLOGY)
