@@ -10,7 +10,7 @@ import numpy as np
 import xxhash
 
 _FORMAT = {c: None for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Cf"}
-_HAS_FORMAT = re.compile("[" + "".join(map(chr, _FORMAT)) + "]")
+_FORMAT_CHARACTERS = frozenset(map(chr, _FORMAT))
 _WORD = re.compile(r"[^\W_]+")
 _CACHE_LIMIT = 1_000_000
 
@@ -23,7 +23,7 @@ def fold(text: str) -> str:
     """Lower-cased compatibility form of text without format characters."""
     if text.isascii():
         return text.lower()
-    if _HAS_FORMAT.search(text):
+    if not _FORMAT_CHARACTERS.isdisjoint(text):
         text = text.translate(_FORMAT)
     return _compatible(_compatible(text).casefold())
 
