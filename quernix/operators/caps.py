@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quernix.operators.selection import ranked_by_ranges
 from quernix.operators.skew import salted_join
 from quernix.runtime import stage
 
@@ -31,6 +32,10 @@ def cutoffs(df: DataFrame, keys: list[str], cap: int) -> DataFrame:
     ).select(*keys, F.col("__qx_c.b").alias(CUT), F.col("__qx_c.r").alias(ROOM))
 
 
+#: Caps up to which the rows of a border bin are cut by a window, and cutoffs up to which these are sent to all executors.
+WINDOW_CAP, BROADCAST_CUTS = 10_000, 100_000
+
+
 def cap_contributors(
     df: DataFrame, keys: list[str], cap: int | None, quality: str, tie: str, *, share: float | None = None, bins: int = 1024, salts: int = 8
 ) -> DataFrame:
@@ -38,8 +43,9 @@ def cap_contributors(
 
     Better quality stays first, unmeasured (null, NaN) last, equal quality in ascending order of tie, which should be
     unique within a contributor. Rows above the contributor's cutoff bin stay, rows below go, and only those in the
-    borderline bin are ranked; ranking keeps at most cap rows of a contributor per partition before the shuffle, so a
-    contributor with a third of all rows never comes together in a task.
+    borderline bin are ranked. Up to WINDOW_CAP that keeps at most cap rows of a contributor per partition before the
+    shuffle; beyond, the border rows are put in order by ranges and counted per range, so a contributor with a third of
+    all rows, all of one quality, never comes together in a task.
     Defined cases: rows with a null key belong to no contributor and stay; repeated rows count as often as they occur,
     and where they tie entirely any of them stays; an empty table gives an empty one; cap 0 keeps no row with a key.
     """
@@ -55,9 +61,16 @@ def cap_contributors(
     q = F.col(quality).cast("double")
     work = df.withColumn(QUALITY, F.when(F.isnan(q), None).otherwise(q)).withColumn(BIN, quality_bin(q, bins))
     cuts = stage(cutoffs(work.where(whole), keys, cap), "cutoffs")
-    told = salted_join(work, cuts, keys, F.col(tie), "left", salts)
+    if cuts.count() <= BROADCAST_CUTS:
+        told = work.join(F.broadcast(cuts), keys, "left")
+    else:
+        told = salted_join(work, cuts, keys, F.col(tie), "left", salts)
     stays = told.where(F.col(CUT).isNull() | (F.col(BIN) > F.col(CUT)))
-    order = Window.partitionBy(*keys).orderBy(F.col(QUALITY).desc_nulls_last(), F.col(tie))
-    # the first condition is a literal, which Spark applies within each partition before the shuffle
-    border = told.where(F.col(BIN) == F.col(CUT)).withColumn(RANK, F.row_number().over(order)).where((F.col(RANK) <= cap) & (F.col(RANK) <= F.col(ROOM)))
+    border = told.where(F.col(BIN) == F.col(CUT))
+    order = [F.col(QUALITY).desc_nulls_last(), F.col(tie)]
+    if cap <= WINDOW_CAP:
+        # the first condition is a literal, which Spark applies within each partition before the shuffle
+        border = border.withColumn(RANK, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where((F.col(RANK) <= cap) & (F.col(RANK) <= F.col(ROOM)))
+    else:
+        border = ranked_by_ranges(border, keys, order, RANK).where(F.col(RANK) <= F.col(ROOM))
     return stays.select(*df.columns).unionByName(border.select(*df.columns))

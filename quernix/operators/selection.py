@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,6 +94,31 @@ def numbered(df: DataFrame, order: list[Column | str], name: str = "row_no") ->
     return ordered.join(F.broadcast(starts), "__qx_part").withColumn(name, F.col("__qx_start") + F.col("__qx_at") - F.col("__qx_first")).drop("__qx_part", "__qx_at", "__qx_first", "__qx_start")
 
 
+def ranked_by_ranges(df: DataFrame, keys: list[str], order: list[Column | str], name: str) -> DataFrame:
+    """df with the 1-based rank of each row among those of its keys: rows are sorted by ranges, and a row's rank is its
+    place in its range after all rows of its keys in the ranges before. Rows of one key fill as many ranges as they need.
+    """
+    part, at, first, n, start = "__qx_part", "__qx_at", "__qx_first", "__qx_n", "__qx_start"
+    rows = df.orderBy(*keys, *order).withColumn(part, F.spark_partition_id()).withColumn(at, F.monotonically_increasing_id())
+    rows = stage(rows, "border")
+    runs = rows.groupBy(*keys, part).agg(F.min(at).alias(first), F.count(F.lit(1)).alias(n))
+    # one row for each key and range in which it occurs
+    before = F.sum(n).over(Window.partitionBy(*keys).orderBy(part)) - F.col(n)
+    runs = runs.withColumn(start, before).drop(n)
+    return rows.join(runs, [*keys, part]).withColumn(name, F.col(start) + F.col(at) - F.col(first) + 1).drop(part, at, first, start)
+
+
+def order_statistics(df: DataFrame, keys: list[str], value: str, places: dict[str, Callable[[Column], Column]]) -> DataFrame:
+    """(keys, n, a column for each of places) of the values that aren't null: places gives from n the 0-based place in
+    ascending order whose value is wanted, null for none. Values are ranked by ranges, so a key may have any number.
+    """
+    some = df.where(F.col(value).isNotNull()).select(*keys, value)
+    sizes = some.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    ranked = ranked_by_ranges(some, keys, [value], "__qx_rank").join(sizes, keys)
+    at = F.col("__qx_rank") - 1
+    return ranked.groupBy(*keys, "n").agg(*[F.max(F.when(at == place(F.col("n")), F.col(value))).alias(name) for name, place in places.items()])
+
+
 def strided(df: DataFrame, order: list[Column | str], k: int) -> DataFrame:
     """Every (n // k)-th row of the order, k at most."""
     rows = numbered(df, order)
@@ -116,11 +143,15 @@ def holdout_until(df: DataFrame, group: str, holdout: int | None, fraction: floa
     sizes = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("n"))
     total = df.count()
     target = int(total * fraction) if holdout is None else min(holdout, int(total * fraction))
-    ranked = numbered(sizes.withColumn("k", order_key(seed, F.col(group).cast("string"))), ["k"])
-    # a holdout of target rows has at most target groups
-    first = ranked.where(F.col("row_no") < target)
-    before = F.sum("n").over(Window.orderBy("row_no").rowsBetween(Window.unboundedPreceding, -1))
-    chosen = first.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < target).select(group, F.lit("holdout").alias("split"))
+    # a running sum by ranges: a group's rows before it are those of the ranges before and those in its own
+    ordered = sizes.withColumn("k", order_key(seed, F.col(group).cast("string"))).orderBy("k").withColumn("__qx_part", F.spark_partition_id())
+    ordered = stage(ordered, "holdout-order")
+    parts = ordered.groupBy("__qx_part").agg(F.sum("n").alias("m"))
+    # one row per partition
+    starts = parts.select("__qx_part", (F.sum("m").over(Window.orderBy("__qx_part")) - F.col("m")).alias("__qx_start"))
+    inside = F.sum("n").over(Window.partitionBy("__qx_part").orderBy("k")) - F.col("n")
+    near = ordered.join(F.broadcast(starts.where(F.col("__qx_start") < target)), "__qx_part")
+    chosen = near.withColumn("before", F.col("__qx_start") + inside).where(F.col("before") < target).select(group, F.lit("holdout").alias("split"))
     return df.join(chosen, group, "left").withColumn("split", F.coalesce("split", F.lit("train")))
 
 

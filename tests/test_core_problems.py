@@ -212,3 +212,20 @@ def test_key_bitmap_has_every_key(spark):
     at = np.array(keys, dtype=np.int64) & np.int64(8 * len(bits) - 1)
     assert ((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1).all()
     assert 0 < np.unpackbits(bits).sum() <= len(keys)
+
+
+def test_share_of_a_contributor_of_one_quality(spark, monkeypatch):
+    """A third of all rows are of one contributor and one reward; the cap is beyond what a window may rank."""
+    from quernix.operators import caps
+
+    monkeypatch.setattr(caps, "WINDOW_CAP", 20)
+    rng = random.Random(3)
+    rows = [("hot", 1.0, f"t{k:05d}") for k in range(500)] + [(f"c{k % 9}", rng.choice([0.0, 1.0, None, float("nan")]), f"u{k:05d}") for k in range(1000)]
+    rows += [(None, 1.0, "x")]
+    df = spark.createDataFrame(rows, "c string, q double, id string").repartition(7)
+    got = {r.id for r in caps.cap_contributors(df, ["c"], None, "q", "id", share=0.05).collect()}
+    cap, want = int(0.05 * len(rows)), {"x"}
+    for c in {r[0] for r in rows} - {None}:
+        own = sorted((r for r in rows if r[0] == c), key=lambda r: (r[1] is None or r[1] != r[1], -(r[1] or 0.0) if r[1] == r[1] else 0.0, r[2]))
+        want |= {r[2] for r in own[:cap]}
+    assert got == want
