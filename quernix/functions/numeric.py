@@ -53,20 +53,23 @@ def tier_of(trials: Column, rate: Column, least: int) -> Column:
     return out.otherwise("unknown")
 
 
-def nearest_rank(sorted_values: Column, q: float) -> Column:
-    """v[min(n - 1, int(q * n))] of a sorted array; null if empty."""
-    n = F.size(sorted_values)
-    return F.when(n > 0, F.element_at(sorted_values, F.least(n, F.floor(q * n).cast("int") + 1)))
-
-
-def exclusive_quantile(sorted_values: Column, parts: int, cut: int) -> Column:
-    """The cut-th of the cut points into parts of equal probability, ends excluded; the greatest value while there are
-    no more values than parts."""
-    m = F.size(sorted_values)
-    j = F.greatest(F.lit(1), F.least(m - 1, F.floor(F.lit(cut) * (m + 1) / parts).cast("int")))
-    delta = F.lit(cut) * (m + 1) - j * parts
-    a, b = F.element_at(sorted_values, j).cast("double"), F.element_at(sorted_values, j + 1).cast("double")
-    return F.when(m > parts, (a * (parts - delta) + b * delta) / parts).when(m > 0, F.element_at(sorted_values, -1).cast("double"))
+def nearest_rank_place(n: Column, q: float) -> Column:
+    """0-based place min(n - 1, int(q * n)) among n sorted values."""
+    return F.least(n - 1, F.floor(q * n))
+
+
+def exclusive_places(n: Column, parts: int, cut: int) -> Column:
+    """0-based place of the value below the cut-th of the cut points into parts of equal probability, ends excluded; the
+    last place while there are no more values than parts."""
+    j = F.greatest(F.lit(1), F.least(n - 1, F.floor(F.lit(cut) * (n + 1) / parts)))
+    return F.when(n > parts, j - 1).otherwise(n - 1)
+
+
+def exclusive_quantile(n: Column, low: Column, high: Column, parts: int, cut: int) -> Column:
+    """The cut point between low, the value at exclusive_places, and high, the one after it."""
+    j = exclusive_places(n, parts, cut) + 1
+    delta = F.lit(cut) * (n + 1) - j * parts
+    return F.when(n > parts, (low.cast("double") * (parts - delta) + high.cast("double") * delta) / parts).otherwise(low.cast("double"))
 
 
 def ratio(a: Column, b: Column) -> Column:

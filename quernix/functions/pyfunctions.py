@@ -12,6 +12,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quernix.functions.text import WARNING_PREAMBLE
+
 REQUIRED_KEYS = ("analysis", "plan", "commands")
 _NORMALIZED = T.StructType([T.StructField("canonical", T.StringType()), T.StructField("rewritten", T.BooleanType()), T.StructField("reason", T.StringType())])
 _FENCED = re.compile(r"```(?:json|JSON)?\s*(\{.*?\})\s*```", re.DOTALL)
@@ -36,30 +38,38 @@ def balanced_objects(text: str) -> list[str]:
     return found
 
 
+def _object(text: str) -> dict | None:
+    """The JSON object that a text is, raw control characters allowed; null for anything else."""
+    try:
+        value = json.loads(text, strict=False)
+    except (ValueError, RecursionError):
+        return None
+    return value if isinstance(value, dict) else None
+
+
+def _lack(value: dict) -> str | None:
+    if not set(REQUIRED_KEYS) <= set(value):
+        return "missing_required_keys"
+    return None if isinstance(value["commands"], list) else "commands_not_list"
+
+
 def normalize_response(raw: str | None) -> tuple[str | None, bool, str]:
-    """(canonical JSON, rewritten, reason) of an agent's response. Tried in turn: the whole text, fenced objects, and
-    balanced objects; the first with all required keys and a list of commands holds. Without one, reason tells what the
-    last readable candidate lacked.
+    """(canonical JSON, rewritten, reason) of an agent's response. Of the objects in it (the whole text, else fenced ones,
+    else balanced ones) the first holds that has all required keys and a list of commands. Without one, reason tells what
+    the last object lacked.
     """
-    if raw is None:
-        return None, False, "unparseable"
+    raw = raw or ""
     whole = raw.strip()
-    reason = "unparseable"
-    tries = ([whole] if whole else []) + _FENCED.findall(raw) + balanced_objects(raw)
-    for k, text in enumerate(tries):
-        try:
-            value = json.loads(text, strict=False)
-        except (ValueError, RecursionError):
-            continue
-        if isinstance(value, dict):
-            if missing := [x for x in REQUIRED_KEYS if x not in value]:
-                reason = "missing_required_keys" if missing else reason
-            elif not isinstance(value["commands"], list):
-                reason = "commands_not_list"
-            else:
-                canonical = json.dumps(value, indent=2, ensure_ascii=False)
-                return canonical, (k > 0 and bool(whole)) or canonical != whole, "ok"
-    return None, False, reason
+    first = _object(whole)
+    if first is not None and _lack(first) is None:
+        objects = [first]
+    else:
+        objects = [x for x in (first, *map(_object, _FENCED.findall(raw)), *map(_object, balanced_objects(raw))) if x is not None]
+    sound = next((x for x in objects if _lack(x) is None), None)
+    if sound is None:
+        return None, False, _lack(objects[-1]) if objects else "unparseable"
+    canonical = json.dumps(sound, indent=2, ensure_ascii=False)
+    return canonical, canonical != whole, "ok"
 
 
 def keystrokes(canonical: str | None) -> list[str]:
@@ -87,17 +97,39 @@ def balanced_objects_udf(text: pd.Series) -> pd.Series:
     return text.map(lambda x: balanced_objects(x or ""))
 
 
+def content_hash(messages: list[dict] | None) -> str | None:
+    """SHA-256 of the messages as JSON with sorted keys."""
+    return None if messages is None else hashlib.sha256(json.dumps(messages, sort_keys=True, ensure_ascii=False).encode()).hexdigest()
+
+
 @F.pandas_udf(T.StringType())
 def content_hash_udf(messages: pd.Series) -> pd.Series:
-    """SHA-256 of the messages as JSON with sorted keys."""
+    return messages.map(lambda ms: None if ms is None else content_hash([dict(m) for m in ms]))
+
+
+_PREAMBLE = re.compile(WARNING_PREAMBLE)
 
-    def one(ms) -> str | None:
-        if ms is None:
-            return None
-        plain = [{k: v for k, v in dict(m).items()} for m in ms]
-        return hashlib.sha256(json.dumps(plain, sort_keys=True, ensure_ascii=False).encode()).hexdigest()
 
-    return messages.map(one)
+def canonical_turns(roles: list[str | None], contents: list[str | None]) -> tuple[list[str | None], int, int, str, str | None]:
+    """(contents, assistant turns, rewritten turns, command signature, first thing wrong) of a conversation whose
+    answers are brought into canonical form. A user turn loses a warning preamble if the answer before it was rewritten.
+    """
+    out, answers, rewrites, typed, wrong, last_rewritten = [], 0, 0, [], None, False
+    for role, content in zip(roles, contents, strict=True):
+        reason = "nonstring_message" if content is None else None
+        if role == "assistant":
+            text, last_rewritten, how = normalize_response(content)
+            answers, rewrites = answers + 1, rewrites + last_rewritten
+            typed += keystrokes(text)
+            reason = reason or (how if text is None else None)
+        else:
+            text = content
+            if role == "user" and text is not None:
+                reason = reason or ("empty_user_turn" if not text.strip() else None)
+                text = _PREAMBLE.sub("", text) if last_rewritten else text
+        wrong = wrong or reason
+        out.append(text)
+    return out, answers, rewrites, hashlib.sha256("\0".join(typed).encode("utf-8", "surrogatepass")).hexdigest(), wrong
 
 
 ASSISTANT_HEADER, END_MARKER, THINK_OPENER = "<|im_start|>assistant\n", "<|im_end|>", "<think>\n"
@@ -129,14 +161,9 @@ def token_mask(length: int, spans: list[tuple[int, int]], offsets: list[tuple[in
     return [int(e > s and upto[e] > upto[s]) for s, e in offsets]
 
 
-@F.pandas_udf(T.LongType())
-def trained_chars_udf(rendered: pd.Series, turns: pd.Series) -> pd.Series:
-    """Number of trained characters of a render with that many assistant turns, by spans."""
-    return pd.Series([sum(token_mask(len(r), trained_spans(r, [True] * int(n)), [(k, k + 1) for k in range(len(r))])) for r, n in zip(rendered, turns, strict=True)])
-
-
 def trained_chars(messages: Column) -> Column:
-    """The same number without a search: lengths of contents, markers and line ends of assistant turns."""
+    """Number of characters of a render that are in trained_spans, without a search: lengths of contents, markers and
+    line ends of assistant turns."""
     n = F.size(messages)
     extra = len(END_MARKER) + 1
 

@@ -2,55 +2,69 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quernix.functions import arrays as A
-from quernix.functions import text as X
-from quernix.functions.pyfunctions import content_hash_udf, keystrokes_udf, normalize_response_udf
+from quernix.functions.pyfunctions import canonical_turns, content_hash
 from quernix.operators.dedup import greedy_two_key
 from quernix.operators.gates import first_failure, trainable
 from quernix.operators.selection import holdout_until, rotate_sources
 from quernix.runtime import ship, stage
 
+_ADDED = "n_assistant_turns bigint, n_rewritten_turns bigint, command_signature string, content_hash string, __qx_wrong string"
+
+
+def _canonical(turns: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            col = b.column(turns)
+            flat = col.flatten()
+            roles, contents = flat.field("role").to_pylist(), flat.field("content").to_pylist()
+            fixed, told, at = [], [], 0
+            for n in pc.list_value_length(col).to_pylist():
+                if not n:
+                    told.append((None, None, None, None if n is None else content_hash([]), None))
+                    continue
+                rs = roles[at : at + n]
+                texts, *counts, wrong = canonical_turns(rs, contents[at : at + n])
+                told.append((*counts, content_hash([{"role": r, "content": c} for r, c in zip(rs, texts, strict=True)]), wrong))
+                fixed += texts
+                at += n
+            sizes = pc.fill_null(pc.list_value_length(col), 0).to_numpy()
+            ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+            structs = pa.StructArray.from_arrays([flat.field("role"), pa.array(fixed, pa.string())], names=["role", "content"])
+            again = pa.ListArray.from_arrays(ends, structs, mask=col.is_null())
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string())
+            added = [pa.array([t[k] for t in told], kind) for k, kind in enumerate(kinds)]
+            names = b.schema.names
+            kept = [again if name == turns else b.column(name) for name in names]
+            yield pa.RecordBatch.from_arrays([*kept, *added], names=[*names, *(x.split()[0] for x in _ADDED.split(", "))])
+
+    return run
 
-def conversations(df: DataFrame, turns: str = "messages", id_col: str = "trajectory_id") -> DataFrame:
-    """Conversations with agents' answers in canonical form: messages, n_assistant_turns, n_rewritten_turns,
+
+def conversations(df: DataFrame, turns: str = "messages") -> DataFrame:
+    """Conversations with agents' answers in canonical form: turns, n_assistant_turns, n_rewritten_turns,
     command_signature, content_hash and drop_reason, beside the other columns of df.
 
-    Turns are judged one by one in Arrow batches; a user turn loses a warning preamble only if the answer before it was
-    rewritten. The first turn that can't be used names the reason.
+    A conversation is judged where it is, in Arrow batches, without a shuffle. The first turn that can't be used names
+    the reason. Defined cases: null and empty turns are kept as they are and are an empty_conversation; of columns with
+    the names of new ones those of df are replaced; turns need fields role and content, others are left out.
     """
     ship(df.sparkSession)
     m = F.col(turns)
     roles = F.transform(m, lambda x: x["role"])
-    base = df.withColumn("__qx_row", F.monotonically_increasing_id())
-    base = stage(base, "conversations")
-    flat = base.select("__qx_row", F.posexplode(turns).alias("i", "t")).select("__qx_row", "i", "t.role", "t.content")
-    done = flat.withColumn("n", F.when(F.col("role") == "assistant", normalize_response_udf("content")))
-    text = F.when(F.col("role") == "assistant", F.col("n.canonical")).otherwise(F.col("content"))
-    wrong = (
-        F.when(F.col("content").isNull(), "nonstring_message")
-        .when((F.col("role") == "user") & (X.py_strip(F.col("content")) == ""), "empty_user_turn")
-        .when((F.col("role") == "assistant") & F.col("n.canonical").isNull(), F.col("n.reason"))
-    )
-    keys = F.when(F.col("role") == "assistant", keystrokes_udf(F.col("n.canonical")))
-    judged = done.select("__qx_row", "i", "role", text.alias("content"), (F.col("role") == "assistant").alias("is_a"), F.coalesce(F.col("n.rewritten"), F.lit(False)).alias("rw"), wrong.alias("wrong"), keys.alias("keys"))
-    turn = F.struct("i", "role", "content", "is_a", "rw", "wrong", "keys")
-    # a conversation's own turns only; its length is bounded by the context
-    again = judged.groupBy("__qx_row").agg(F.array_sort(F.collect_list(turn)).alias("ts"))
-    before = lambda t: F.get(F.transform(F.filter("ts", lambda y: y["is_a"] & (y["i"] < t["i"])), lambda y: y["rw"]), F.size(F.filter("ts", lambda y: y["is_a"] & (y["i"] < t["i"]))) - 1)
-    fixed = F.transform("ts", lambda t: F.struct(t["role"].alias("role"), F.when((t["role"] == "user") & F.coalesce(before(t), F.lit(False)), X.strip_warning_preamble(t["content"])).otherwise(t["content"]).alias("content")))
-    out = again.select(
-        "__qx_row",
-        fixed.alias("__qx_messages"),
-        F.size(F.filter("ts", lambda t: t["is_a"])).cast("bigint").alias("n_assistant_turns"),
-        F.size(F.filter("ts", lambda t: t["rw"])).cast("bigint").alias("n_rewritten_turns"),
-        F.sha2(F.array_join(F.flatten(F.transform(F.filter("ts", lambda t: t["is_a"]), lambda t: F.coalesce(t["keys"], F.array().cast("array<string>")))), "\0"), 256).alias("command_signature"),
-        F.get(F.transform(F.filter("ts", lambda t: t["wrong"].isNotNull()), lambda t: t["wrong"]), F.lit(0)).alias("__qx_wrong"),
-    )
-    drop = ["n_assistant_turns", "n_rewritten_turns", "command_signature", "content_hash", "drop_reason"]
-    told = base.drop(*drop).join(out, "__qx_row", "left")
+    plain = df.drop(*(x.split()[0] for x in _ADDED.split(", ")), "drop_reason")
+    plain = plain.withColumn(turns, F.transform(m, lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))))
+    schema = T.StructType([*plain.schema.fields, *T._parse_datatype_string(_ADDED).fields])
+    told = plain.mapInArrow(_canonical(turns), schema)
     reason = first_failure(
         [
             ("empty_conversation", m.isNull() | (F.size(m) == 0)),
@@ -59,8 +73,7 @@ def conversations(df: DataFrame, turns: str = "messages", id_col: str = "traject
         ]
     )
     ends = F.when(F.element_at(F.when(F.size(roles) > 0, roles), -1) != "assistant", "not_assistant_terminated").when(F.size(m) < 2, "too_short")
-    told = told.withColumn("drop_reason", F.coalesce(reason, F.col("__qx_wrong"), ends)).withColumn(turns, F.coalesce("__qx_messages", turns))
-    return told.drop("__qx_row", "__qx_messages", "__qx_wrong").withColumn("content_hash", content_hash_udf(turns))
+    return told.withColumn("drop_reason", F.coalesce(reason, F.col("__qx_wrong"), ends)).drop("__qx_wrong")
 
 
 def build(trajectories: DataFrame, messages: DataFrame, per_group: int = 10, max_tokens: int = 32_768, holdout: int = 256, seed: int = 1228) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quernix.functions import arrays as A
@@ -20,9 +20,6 @@ R = Registry()
 SCORABLE = "(reward IS NOT NULL AND infra_reason IS NULL)"
 
 
-def _sorted(column: str) -> Column:
-    return F.sort_array(F.collect_list(column))
-
 
 @R.add("a01_group_outcomes", f"WITH {TRAJ}, {CLEAN} SELECT grp, count(*)::BIGINT AS n, sum(CASE WHEN reward >= 1.0 THEN 1 ELSE 0 END)::BIGINT AS wins, sum(CASE WHEN reward >= 1.0 THEN 0 ELSE 1 END)::BIGINT AS fails FROM clean WHERE grp IS NOT NULL GROUP BY 1")
 def a01(spark: SparkSession, sf: str) -> DataFrame:
@@ -47,13 +44,13 @@ def a03(spark: SparkSession, sf: str) -> DataFrame:
 
 @R.add("a05_image_mix", f"WITH {TASKS} SELECT image, count(*)::BIGINT AS n FROM (SELECT CASE WHEN regexp_extract(coalesce(dockerfile, ''), '(?im)^\\s*FROM\\s+(\\S+)', 1) = '' THEN '?' ELSE regexp_extract(coalesce(dockerfile, ''), '(?im)^\\s*FROM\\s+(\\S+)', 1) END AS image FROM task) GROUP BY 1 ORDER BY 2 DESC, 1")
 def a05(spark: SparkSession, sf: str) -> DataFrame:
-    return tasks(spark, sf).groupBy(X.base_image(F.col("dockerfile")).alias("image")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "image")
+    return tasks(spark, sf, X.base_image(F.col("dockerfile")).alias("image")).groupBy("image").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "image")
 
 
 @R.add("a06_length_stats", f"WITH {SFT} SELECT round(avg(n_tokens), 6) AS mean, round(quantile_cont(n_tokens, 0.5), 6) AS p50, round(quantile_cont(n_tokens, 0.9), 6) AS p90, round(quantile_cont(n_tokens, 0.99), 6) AS p99, max(n_tokens)::BIGINT AS longest, sum(n_tokens)::BIGINT AS total FROM sft")
 def a06(spark: SparkSession, sf: str) -> DataFrame:
     q = F.percentile("n_tokens", F.array(F.lit(0.5), F.lit(0.9), F.lit(0.99)))
-    s = sft(spark, sf).agg(F.avg("n_tokens").alias("mean"), q.alias("q"), F.max("n_tokens").alias("longest"), F.sum("n_tokens").alias("total"))
+    s = sft(spark, sf, "n_tokens").agg(F.avg("n_tokens").alias("mean"), q.alias("q"), F.max("n_tokens").alias("longest"), F.sum("n_tokens").alias("total"))
     return s.select(r6("mean").alias("mean"), *[r6(F.col("q")[k]).alias(p) for k, p in enumerate(("p50", "p90", "p99"))], "longest", "total")
 
 
@@ -67,24 +64,27 @@ def _exclusive_sql(parts: int, cut: int) -> str:
     SELECT model, round({_exclusive_sql(10, 9)}, 6) AS p90, round({_exclusive_sql(100, 99)}, 6) AS p99 FROM k""",
 )
 def a07(spark: SparkSession, sf: str) -> DataFrame:
-    v = chats(spark, sf).where("model is not null").select("model", F.size("conversations").alias("n")).groupBy("model").agg(_sorted("n").alias("v"))
-    return v.select("model", r6(N.exclusive_quantile(F.col("v"), 10, 9)).alias("p90"), r6(N.exclusive_quantile(F.col("v"), 100, 99)).alias("p99"))
+    v = chats(spark, sf, "model", F.size("conversations").alias("n")).where("model is not null").withColumnRenamed("n", "turns")
+    cuts = {"p90": (10, 9), "p99": (100, 99)}
+    places = {f"{name}_{k}": lambda n, c=c, k=k: N.exclusive_places(n, *c) + k for name, c in cuts.items() for k in (0, 1)}
+    got = S.order_statistics(v, ["model"], "turns", places)
+    return got.select("model", *[r6(N.exclusive_quantile(F.col("n"), F.col(f"{name}_0"), F.col(f"{name}_1"), *c)).alias(name) for name, c in cuts.items()])
 
 
 @R.add("a08_nearest_rank", f"WITH {ATTEMPTS}, g AS (SELECT benchmark, run, list(seconds ORDER BY seconds) AS v FROM att WHERE seconds IS NOT NULL GROUP BY 1, 2) SELECT benchmark, run, round(v[least(len(v), floor(0.95 * len(v))::INT + 1)], 4) AS p95, round(v[least(len(v), floor(0.5 * len(v))::INT + 1)], 4) AS upper_median FROM g")
 def a08(spark: SparkSession, sf: str) -> DataFrame:
-    v = attempts(spark, sf).where("seconds is not null").groupBy("benchmark", "run").agg(_sorted("seconds").alias("v"))
-    return v.select("benchmark", "run", F.round(N.nearest_rank(F.col("v"), 0.95), 4).alias("p95"), F.round(N.nearest_rank(F.col("v"), 0.5), 4).alias("upper_median"))
+    got = S.order_statistics(attempts(spark, sf, "seconds"), ["benchmark", "run"], "seconds", {"p95": lambda n: N.nearest_rank_place(n, 0.95), "upper_median": lambda n: N.nearest_rank_place(n, 0.5)})
+    return got.select("benchmark", "run", F.round("p95", 4).alias("p95"), F.round("upper_median", 4).alias("upper_median"))
 
 
 @R.add("a10_low_percentile", f"WITH {ATTEMPTS} SELECT benchmark, round(quantile_cont(seconds, 0.05), 6) AS p05 FROM att GROUP BY 1")
 def a10(spark: SparkSession, sf: str) -> DataFrame:
-    return attempts(spark, sf).groupBy("benchmark").agg(r6(F.percentile("seconds", F.lit(0.05))).alias("p05"))
+    return attempts(spark, sf, "seconds").groupBy("benchmark").agg(r6(F.percentile("seconds", F.lit(0.05))).alias("p05"))
 
 
 @R.add("a11_turn_stats", f"WITH {SFT} SELECT model_name, round(avg(n_assistant_turns), 6) AS mean_turns, max(n_assistant_turns)::BIGINT AS most_turns, round(sum(n_rewritten_turns) / greatest(1, sum(n_assistant_turns)), 6) AS rewritten FROM sft GROUP BY 1")
 def a11(spark: SparkSession, sf: str) -> DataFrame:
-    return sft(spark, sf).groupBy("model_name").agg(r6(F.avg("n_assistant_turns")).alias("mean_turns"), F.max("n_assistant_turns").alias("most_turns"), r6(N.ratio(F.col("n_rewritten_turns"), F.col("n_assistant_turns"))).alias("rewritten"))
+    return sft(spark, sf, "model_name", "n_assistant_turns", "n_rewritten_turns").groupBy("model_name").agg(r6(F.avg("n_assistant_turns")).alias("mean_turns"), F.max("n_assistant_turns").alias("most_turns"), r6(N.ratio(F.col("n_rewritten_turns"), F.col("n_assistant_turns"))).alias("rewritten"))
 
 
 _TOK = f"""{SFT}, tok AS (SELECT trajectory_id, model_name, flatten(list_transform(messages, lambda m: list_transform(string_split(coalesce(m.content, ''), ' '), lambda w: len(w)))) AS ids,
@@ -205,8 +205,10 @@ def x64(spark: SparkSession, sf: str) -> DataFrame:
 
 @R.add("a26_clip_fraction", f"WITH {ATTEMPTS}, g AS (SELECT benchmark, list(seconds ORDER BY seconds) AS v, avg((seconds > 300)::INT) AS clipped FROM att WHERE seconds IS NOT NULL GROUP BY 1) SELECT benchmark, round(v[least(len(v), floor(0.9 * len(v))::INT + 1)], 4) AS p90, round(clipped, 6) AS clip_fraction FROM g")
 def a26(spark: SparkSession, sf: str) -> DataFrame:
-    g = attempts(spark, sf).where("seconds is not null").groupBy("benchmark").agg(_sorted("seconds").alias("v"), F.avg((F.col("seconds") > 300).cast("double")).alias("c"))
-    return g.select("benchmark", F.round(N.nearest_rank(F.col("v"), 0.9), 4).alias("p90"), r6("c").alias("clip_fraction"))
+    rows = attempts(spark, sf, "seconds")
+    share = rows.where("seconds is not null").groupBy("benchmark").agg(r6(F.avg((F.col("seconds") > 300).cast("double"))).alias("clip_fraction"))
+    got = S.order_statistics(rows, ["benchmark"], "seconds", {"p90": lambda n: N.nearest_rank_place(n, 0.9)})
+    return got.join(share, "benchmark").select("benchmark", F.round("p90", 4).alias("p90"), "clip_fraction")
 
 
 @R.add("a27_token_logp_means", f"WITH {_LOGPS} SELECT ref_n, round(avg(chosen_ref_logp / ref_n), 9) AS mean_logp, avg(chosen_ref_logp / ref_n) < -100.0 AS warn FROM ref GROUP BY 1")
@@ -233,7 +235,7 @@ def a30(spark: SparkSession, sf: str) -> DataFrame:
 @R.add("a31_build_report", f"WITH {ATTEMPTS} SELECT benchmark, sum((returncode = 0)::INT)::BIGINT AS built, sum((returncode <> 0)::INT)::BIGINT AS failed, round(avg(CASE WHEN returncode = 0 THEN seconds END), 6) AS mean_seconds FROM att GROUP BY 1")
 def a31(spark: SparkSession, sf: str) -> DataFrame:
     ok = F.col("returncode") == 0
-    return attempts(spark, sf).groupBy("benchmark").agg(F.sum(big(ok)).alias("built"), F.sum(big(~ok)).alias("failed"), r6(F.avg(F.when(ok, F.col("seconds")))).alias("mean_seconds"))
+    return attempts(spark, sf, "returncode", "seconds").groupBy("benchmark").agg(F.sum(big(ok)).alias("built"), F.sum(big(~ok)).alias("failed"), r6(F.avg(F.when(ok, F.col("seconds")))).alias("mean_seconds"))
 
 
 @R.add("a32_pool_rates", f"WITH {TRAJ}, {CLEAN}, s AS (SELECT grp, avg(CASE WHEN reward >= 1.0 THEN 1.0 ELSE 0.0 END) AS p FROM clean WHERE grp IS NOT NULL GROUP BY 1) SELECT round(avg(p), 6) AS mean, round(min(p), 6) AS least, round(max(p), 6) AS most FROM s")
@@ -291,7 +293,7 @@ def w04(spark: SparkSession, sf: str) -> DataFrame:
 @R.add("w05_head_per_group", f"WITH {TASKS} SELECT task_group_id, task_id FROM task WHERE task_group_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY task_group_id ORDER BY task_id) <= 2")
 def w05(spark: SparkSession, sf: str) -> DataFrame:
     rn = F.row_number().over(Window.partitionBy("task_group_id").orderBy("task_id"))
-    return tasks(spark, sf).where("task_group_id is not null").select("task_group_id", "task_id").withColumn("rn", rn).where("rn <= 2").drop("rn")
+    return tasks(spark, sf, "task_group_id").where("task_group_id is not null").select("task_group_id", "task_id").withColumn("rn", rn).where("rn <= 2").drop("rn")
 
 
 @R.add(
@@ -354,7 +356,7 @@ def w13(spark: SparkSession, sf: str) -> DataFrame:
 
 @R.add("w14_strided_sample", f"WITH {TASKS}, k AS (SELECT task_id, row_number() OVER (ORDER BY task_id, task_content_sha256) - 1 AS r, count(*) OVER () AS n FROM task) SELECT task_id FROM k WHERE r % greatest(1, n // 25) = 0 AND r < 25 * greatest(1, n // 25)")
 def w14(spark: SparkSession, sf: str) -> DataFrame:
-    return S.strided(tasks(spark, sf).select("task_id", "task_content_sha256"), ["task_id", "task_content_sha256"], 25).select("task_id")
+    return S.strided(tasks(spark, sf, "task_content_sha256"), ["task_id", "task_content_sha256"], 25).select("task_id")
 
 
 @R.add("w15_strided_shard", "SELECT doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS r FROM documents) WHERE r % 8 = 3")
@@ -385,14 +387,14 @@ def w17(spark: SparkSession, sf: str) -> DataFrame:
 def w18(spark: SparkSession, sf: str) -> DataFrame:
     budget = 30_000
     # items have a token at least, so no more than budget of them can fit
-    top = sft(spark, sf).where("n_tokens > 0").orderBy(F.desc("n_tokens"), "trajectory_id").limit(budget).select("n_tokens", "trajectory_id")
+    top = sft(spark, sf, "n_tokens").where("n_tokens > 0").orderBy(F.desc("n_tokens"), "trajectory_id").limit(budget).select("n_tokens", "trajectory_id")
     used = F.sum("n_tokens").over(Window.orderBy(F.desc("n_tokens"), "trajectory_id").rowsBetween(Window.unboundedPreceding, 0))
     return top.withColumn("used", used).where(F.col("used") <= budget).agg((4 * F.count(F.lit(1))).alias("fit"))
 
 
 @R.add("w19_worst_case_batches", f"WITH {SFT} SELECT ceil(sum(n_tokens) / 8192.0)::BIGINT AS worst FROM (SELECT n_tokens FROM sft WHERE n_tokens IS NOT NULL ORDER BY n_tokens DESC LIMIT 32)")
 def w19(spark: SparkSession, sf: str) -> DataFrame:
-    return sft(spark, sf).where("n_tokens is not null").orderBy(F.desc("n_tokens")).limit(32).agg(F.ceil(F.sum("n_tokens") / 8192.0).cast("bigint").alias("worst"))
+    return sft(spark, sf, "n_tokens").where("n_tokens is not null").orderBy(F.desc("n_tokens")).limit(32).agg(F.ceil(F.sum("n_tokens") / 8192.0).cast("bigint").alias("worst"))
 
 
 @R.add("w21_schedule", "SELECT s::BIGINT AS step, round(CASE WHEN s < 30 THEN 0.001 * (s + 1) / 30.0 ELSE 0.001 * 0.5 * (1.0 + cos(pi() * least((s - 30) / 970.0, 1.0))) END, 9) AS lr FROM range(0, 1000) t(s)")
@@ -407,12 +409,12 @@ def l01(spark: SparkSession, sf: str) -> DataFrame:
 
 @R.add("l02_global_sort", f"WITH {TASKS} SELECT task_id, task_group_id FROM task ORDER BY task_id")
 def l02(spark: SparkSession, sf: str) -> DataFrame:
-    return tasks(spark, sf).select("task_id", "task_group_id").orderBy("task_id")
+    return tasks(spark, sf, "task_group_id").orderBy("task_id")
 
 
 @R.add("l04_longest", f"WITH {SFT} SELECT trajectory_id, n_tokens FROM sft ORDER BY n_tokens DESC NULLS LAST, trajectory_id LIMIT 16")
 def l04(spark: SparkSession, sf: str) -> DataFrame:
-    return sft(spark, sf).select("trajectory_id", "n_tokens").orderBy(F.col("n_tokens").desc_nulls_last(), "trajectory_id").limit(16)
+    return sft(spark, sf, "n_tokens").orderBy(F.col("n_tokens").desc_nulls_last(), "trajectory_id").limit(16)
 
 
 @R.add("l05_histogram_order", f"WITH {TRAJ} SELECT status, count(*)::BIGINT AS n FROM traj GROUP BY 1 ORDER BY 2 DESC, 1")

@@ -51,29 +51,35 @@ TRAJ = r"""traj AS (
 )"""
 
 
-def tasks(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "tasks").distinct()
+def _without_copies(t: DataFrame, key: list[str], columns: tuple[Column | str, ...]) -> DataFrame:
+    """t without its exact copies. With columns, only these and the key, which tells rows that are no copies apart, are
+    read and moved."""
+    return t.select(*key, *columns).distinct() if columns else t.distinct()
+
+
+def tasks(spark: SparkSession, sf: str, *columns: Column | str) -> DataFrame:
+    return _without_copies(table(spark, sf, "tasks"), ["task_id"], columns)
 
 
 TASKS = "task AS (SELECT DISTINCT * FROM tasks)"
 
 
-def attempts(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "attempts").distinct()
+def attempts(spark: SparkSession, sf: str, *columns: Column | str) -> DataFrame:
+    return _without_copies(table(spark, sf, "attempts"), ["benchmark", "run", "task_id"], columns)
 
 
 ATTEMPTS = "att AS (SELECT DISTINCT * FROM attempts)"
 
 
-def sft(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "sft_messages").distinct()
+def sft(spark: SparkSession, sf: str, *columns: Column | str) -> DataFrame:
+    return _without_copies(table(spark, sf, "sft_messages"), ["trajectory_id"], columns)
 
 
 SFT = "sft AS (SELECT DISTINCT * FROM sft_messages)"
 
 
-def chats(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "chat_source").distinct()
+def chats(spark: SparkSession, sf: str, *columns: Column | str) -> DataFrame:
+    return _without_copies(table(spark, sf, "chat_source"), ["trial_name"], columns)
 
 
 CHATS = "chat AS (SELECT DISTINCT * FROM chat_source)"

@@ -30,13 +30,13 @@ def f17(spark: SparkSession, sf: str) -> DataFrame:
 def l03(spark: SparkSession, sf: str) -> DataFrame:
     """A cap of 0 is none; here it is 40."""
     cap = 40
-    ordered = tasks(spark, sf).select("task_id").distinct().orderBy("task_id")
+    ordered = table(spark, sf, "tasks").select("task_id").distinct().orderBy("task_id")
     return ordered.limit(cap) if cap else ordered
 
 
 @R.add("x24_image_tags", f"WITH {TASKS} SELECT DISTINCT task_id, 'agent-task:' || lower(regexp_replace(task_id, '[^A-Za-z0-9_.-]', '-', 'g')) AS tag FROM task")
 def x24(spark: SparkSession, sf: str) -> DataFrame:
-    return tasks(spark, sf).select("task_id", F.concat(F.lit("agent-task:"), F.lower(F.regexp_replace("task_id", "[^A-Za-z0-9_.-]", "-"))).alias("tag")).distinct()
+    return table(spark, sf, "tasks").select("task_id", F.concat(F.lit("agent-task:"), F.lower(F.regexp_replace("task_id", "[^A-Za-z0-9_.-]", "-"))).alias("tag")).distinct()
 
 
 @R.add("x29_implied_shards", "SELECT p_partkey::BIGINT AS part, round(p_size * 4.0 / (1 + p_partkey % 9))::BIGINT AS degree, p_size * 4.0 / (1 + p_partkey % 9) * 0.55 > 20 AS over FROM part")
@@ -65,7 +65,7 @@ def micro_batches(lengths: DataFrame, column: str, batch: int, world: int, sp: i
 
 @R.add("x67_micro_batches", f"WITH {SFT}, l AS (SELECT n_tokens FROM sft WHERE n_tokens IS NOT NULL) SELECT 4::BIGINT AS dp, 32::BIGINT AS per_dp, greatest(1, ceil(32 * (SELECT avg(n_tokens) FROM l) / 8192.0))::BIGINT AS typical, greatest(1, ceil((SELECT sum(n_tokens) FROM (SELECT n_tokens FROM l ORDER BY n_tokens DESC LIMIT 32)) / 8192.0))::BIGINT AS worst")
 def x67(spark: SparkSession, sf: str) -> DataFrame:
-    return micro_batches(sft(spark, sf).where("n_tokens is not null").select("n_tokens"), "n_tokens", 128, 32, 8, 1024)
+    return micro_batches(sft(spark, sf, "n_tokens").where("n_tokens is not null").select("n_tokens"), "n_tokens", 128, 32, 8, 1024)
 
 
 @R.add("x75_shard_counts", "SELECT p_partkey::BIGINT AS part, ceil(p_size * 1.0 / (1 + p_partkey % 7))::BIGINT AS shards FROM part")

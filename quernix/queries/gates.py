@@ -61,7 +61,7 @@ def f03(spark: SparkSession, sf: str) -> DataFrame:
 
 @R.add("f04_validated_tasks", f"WITH {TASKS} SELECT task_id FROM task WHERE validation_status = 'passed'")
 def f04(spark: SparkSession, sf: str) -> DataFrame:
-    return tasks(spark, sf).where("validation_status = 'passed'").select("task_id")
+    return tasks(spark, sf, "validation_status").where("validation_status = 'passed'").select("task_id")
 
 
 _BLANK = r"regexp_replace({}, '[\s\x0B\x1C-\x1F\x{{85}}\pZ]', '', 'g') = ''"
@@ -120,7 +120,7 @@ def f08(spark: SparkSession, sf: str) -> DataFrame:
 
 @R.add("f09_length_gate", f"WITH {SFT} SELECT CASE WHEN n_tokens > 700 THEN 'too_long' WHEN n_tokens IS NULL THEN 'unmeasured' ELSE 'kept' END AS drop_reason, count(*)::BIGINT AS n FROM sft GROUP BY 1")
 def f09(spark: SparkSession, sf: str) -> DataFrame:
-    return G.reason_counts(G.gate(sft(spark, sf).select("n_tokens"), [("too_long", F.col("n_tokens") > 700), ("unmeasured", F.col("n_tokens").isNull())]))
+    return G.reason_counts(G.gate(sft(spark, sf, "n_tokens").select("n_tokens"), [("too_long", F.col("n_tokens") > 700), ("unmeasured", F.col("n_tokens").isNull())]))
 
 
 @R.add("f10_contract_gate", "SELECT doc_id, list_transform(string_split(text, ' '), lambda w: len(w)) = list_transform(string_split(trim(text), ' '), lambda w: len(w)) AS same FROM documents WHERE text IS NOT NULL AND text <> ''")
@@ -171,7 +171,7 @@ def f16(spark: SparkSession, sf: str) -> DataFrame:
     f"WITH {SFT} SELECT trajectory_id, n_tokens FROM sft WHERE n_tokens >= 600 ORDER BY trajectory_id LIMIT 20",
 )
 def f18(spark: SparkSession, sf: str) -> DataFrame:
-    return long_enough_else_longest(sft(spark, sf).select("trajectory_id", "n_tokens"), "n_tokens", 600, 20, "trajectory_id")
+    return long_enough_else_longest(sft(spark, sf, "n_tokens"), "n_tokens", 600, 20, "trajectory_id")
 
 
 @R.add("f19_existing_skip", f"WITH {TASKS} SELECT task_id FROM task t WHERE NOT EXISTS (SELECT 1 FROM eval_items e WHERE e.task_id = t.task_id) AND NOT EXISTS (SELECT 1 FROM task u WHERE u.task_id = t.task_id AND u.validation_status = 'passed')")

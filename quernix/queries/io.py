@@ -43,14 +43,14 @@ def _archives(spark: SparkSession, sf: str) -> DataFrame:
 
 @R.add("s04_tar_members", f"WITH {TASKS} SELECT task_id, sha256(coalesce(instruction, '')) AS sha FROM task")
 def s04(spark: SparkSession, sf: str) -> DataFrame:
-    wanted = tasks(spark, sf).select("task_id", "shard", "member_prefix").distinct()
+    wanted = table(spark, sf, "tasks").select("task_id", "shard", "member_prefix").distinct()
     got = S.wanted_members(S.expand_tars(_archives(spark, sf)), wanted, "instruction.md")
     return got.select("task_id", F.sha2("content", 256).alias("sha"))
 
 
 @R.add("s05_tar_extract", f"WITH {TASKS} SELECT task_id, 'instruction.md' AS rel, octet_length(encode(coalesce(instruction, '')))::BIGINT AS n FROM task UNION ALL SELECT task_id, 'environment/Dockerfile', octet_length(encode(coalesce(dockerfile, '')))::BIGINT FROM task")
 def s05(spark: SparkSession, sf: str) -> DataFrame:
-    wanted = tasks(spark, sf).select("task_id", "shard", "member_prefix").distinct()
+    wanted = table(spark, sf, "tasks").select("task_id", "shard", "member_prefix").distinct()
     return S.under_prefix(S.expand_tars(_archives(spark, sf)), wanted).select("task_id", "rel", big(F.length("content")).alias("n"))
 
 
@@ -58,7 +58,7 @@ def s05(spark: SparkSession, sf: str) -> DataFrame:
 def s06(spark: SparkSession, sf: str) -> DataFrame:
     """A manifest written as a JSON document and read back; its counts."""
     path = scratch(spark, "manifest")
-    K.write_manifest(tasks(spark, sf).agg(F.count(F.lit(1)).alias("tasks"), F.countDistinct("shard").alias("shards")), path + "/manifest.json", seed=1228)
+    K.write_manifest(tasks(spark, sf, "shard").agg(F.count(F.lit(1)).alias("tasks"), F.countDistinct("shard").alias("shards")), path + "/manifest.json", seed=1228)
     doc = S.json_documents(spark, path)
     return doc.select(*[F.try_variant_get("document", f"$.{c}", "bigint").alias(c) for c in ("tasks", "shards")])
 
@@ -74,7 +74,7 @@ def s07(spark: SparkSession, sf: str) -> DataFrame:
 def s08(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch(spark, "cache")
     key = K.cache_signature(sf=sf, seed=1228)
-    build = lambda: tasks(spark, sf).groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
+    build = lambda: tasks(spark, sf, "shard").groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
     K.cached(spark, folder, key, build)
     return K.cached(spark, folder, key, lambda: spark.range(0).toDF("never"))
 
@@ -119,7 +119,7 @@ def k02(spark: SparkSession, sf: str) -> DataFrame:
 
 @R.add("k04_manifest", f"WITH {SFT} SELECT count(*)::BIGINT AS n_rows, count(DISTINCT task_group_id)::BIGINT AS n_groups, sum(coalesce(n_tokens, 0))::BIGINT AS total_tokens, round(quantile_cont(coalesce(n_tokens, 0), 0.9), 6) AS p90 FROM sft")
 def k04(spark: SparkSession, sf: str) -> DataFrame:
-    return K.manifest_row(sft(spark, sf), "n_tokens", "task_group_id", "model_name").select("n_rows", "n_groups", "total_tokens", r6("p90").alias("p90"))
+    return K.manifest_row(sft(spark, sf, "n_tokens", "task_group_id", "model_name"), "n_tokens", "task_group_id", "model_name").select("n_rows", "n_groups", "total_tokens", r6("p90").alias("p90"))
 
 
 _POOL = f"""{TRAJ}, {TASKS}, s AS (SELECT grp, count(*)::BIGINT AS n, avg(CASE WHEN reward >= 1.0 THEN 1.0 ELSE 0.0 END) AS p FROM traj WHERE status = 'completed' AND has_trajectory AND NOT has_exception AND reward IS NOT NULL AND grp IS NOT NULL GROUP BY 1),
@@ -143,7 +143,7 @@ def k12(spark: SparkSession, sf: str) -> DataFrame:
 
 @R.add("plan_task_pool", f"WITH {_POOL}, r AS (SELECT task_id, grp FROM k JOIN s USING (grp) WHERE n >= 4 AND p >= 0.1 AND p < 0.9 QUALIFY row_number() OVER (PARTITION BY grp ORDER BY task_id) <= 2) SELECT task_id, grp FROM r ORDER BY task_id LIMIT 60")
 def plan_pool(spark: SparkSession, sf: str) -> DataFrame:
-    return task_pool.task_pool(tasks(spark, sf), trajectories(spark, sf), "sweet", per_group=2, max_tasks=60).select("task_id", "grp")
+    return task_pool.task_pool(tasks(spark, sf), trajectories(spark, sf), "sweet", per_group=2).select("task_id", "grp")
 
 
 @R.add("plan_sft_build")
@@ -160,7 +160,7 @@ def plan_pairs(spark: SparkSession, sf: str) -> DataFrame:
 @R.add("plan_chat_conversion")
 def plan_chat(spark: SparkSession, sf: str) -> DataFrame:
     """Reasons for which chat conversations can't be used as agents' conversations."""
-    return sft_build.conversations(chats(spark, sf), "conversations", "trial_name").groupBy(F.coalesce("drop_reason", F.lit("kept")).alias("drop_reason")).agg(F.count(F.lit(1)).alias("n"))
+    return sft_build.conversations(chats(spark, sf), "conversations").groupBy(F.coalesce("drop_reason", F.lit("kept")).alias("drop_reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @R.add("r01_data_findings", f"WITH {SFT}, tok AS (SELECT flatten(list_transform(messages, lambda m: list_transform(string_split(coalesce(m.content, ''), ' '), lambda w: CASE WHEN m.role = 'assistant' THEN 1 ELSE 0 END))) AS mask FROM sft) SELECT 'data' AS area, 'too_long' AS \"check\", CASE WHEN sum((len(mask) > 600)::INT) > 0 THEN 'FAIL' ELSE 'OK' END AS level, sum((len(mask) > 600)::INT)::VARCHAR AS detail FROM tok UNION ALL SELECT 'data', 'untrained', CASE WHEN sum((list_sum(mask) = 0)::INT) > 0 THEN 'FAIL' ELSE 'OK' END, sum((list_sum(mask) = 0)::INT)::VARCHAR FROM tok")

@@ -30,7 +30,7 @@ def j01(spark: SparkSession, sf: str) -> DataFrame:
 
 @R.add("j02_attach_metadata", f"WITH {TRAJ}, {SFT} SELECT s.trajectory_id, t.grp, t.model, t.reward, s.n_tokens FROM sft s JOIN traj t USING (trajectory_id)")
 def j02(spark: SparkSession, sf: str) -> DataFrame:
-    return sft(spark, sf).select("trajectory_id", "n_tokens").join(trajectories(spark, sf).select("trajectory_id", "grp", "model", "reward"), "trajectory_id").select("trajectory_id", "grp", "model", "reward", "n_tokens")
+    return sft(spark, sf, "n_tokens").join(trajectories(spark, sf).select("trajectory_id", "grp", "model", "reward"), "trajectory_id").select("trajectory_id", "grp", "model", "reward", "n_tokens")
 
 
 @R.add("j03_mixed_group_pool", f"WITH {TRAJ}, {CLEAN} SELECT trajectory_id, grp FROM clean WHERE grp IN (SELECT grp FROM clean WHERE grp IS NOT NULL GROUP BY 1 HAVING sum(CASE WHEN reward >= 1.0 THEN 1 ELSE 0 END) BETWEEN 1 AND count(*) - 1)")
@@ -209,7 +209,7 @@ def j13(spark: SparkSession, sf: str) -> DataFrame:
 
 @R.add("j14_drop_leaked", f"WITH {_FILES} SELECT DISTINCT task_id FROM task WHERE task_id NOT IN (SELECT task_id FROM files f WHERE rel LIKE 'environment/%' AND (rel LIKE '%/test.sh' OR EXISTS (SELECT 1 FROM files p WHERE p.task_id = f.task_id AND p.rel = 'tests/test.sh' AND p.sha = f.sha)))")
 def j14(spark: SparkSession, sf: str) -> DataFrame:
-    return tasks(spark, sf).select("task_id").distinct().join(j13(spark, sf), "task_id", "left_anti").select("task_id")
+    return table(spark, sf, "tasks").select("task_id").distinct().join(j13(spark, sf), "task_id", "left_anti").select("task_id")
 
 
 @R.add("r15_file_completeness", f"WITH {_FILES} SELECT DISTINCT task_id, 3::BIGINT AS n_missing FROM task")
@@ -243,7 +243,7 @@ def j16(spark: SparkSession, sf: str) -> DataFrame:
 
 @R.add("j17_claims_vs_manifest", f"WITH {SFT}, m AS (SELECT 'rows' AS path, count(*)::BIGINT AS value FROM sft UNION ALL SELECT 'groups', count(DISTINCT task_group_id)::BIGINT FROM sft UNION ALL SELECT 'tokens', sum(n_tokens)::BIGINT FROM sft), c(path, claimed) AS (SELECT 'rows', count(*)::BIGINT FROM sft UNION ALL SELECT 'tokens', 0::BIGINT UNION ALL SELECT 'pairs', 5::BIGINT) SELECT path, claimed, value, value IS NOT DISTINCT FROM claimed AS ok FROM c LEFT JOIN m USING (path)")
 def j17(spark: SparkSession, sf: str) -> DataFrame:
-    doc = sft(spark, sf).agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("task_group_id").alias("groups"), F.sum("n_tokens").alias("tokens"))
+    doc = sft(spark, sf, "task_group_id", "n_tokens").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("task_group_id").alias("groups"), F.sum("n_tokens").alias("tokens"))
     flat = doc.select(F.explode(F.create_map(*[x for c in doc.columns for x in (F.lit(c), big(c))])).alias("path", "value"))
     claims = doc.select(F.explode(F.create_map(F.lit("rows"), big("rows"), F.lit("tokens"), big(F.lit(0)), F.lit("pairs"), big(F.lit(5)))).alias("path", "claimed"))
     return claims.join(flat, "path", "left").select("path", "claimed", "value", F.col("value").eqNullSafe(F.col("claimed")).alias("ok"))
@@ -253,7 +253,7 @@ def j17(spark: SparkSession, sf: str) -> DataFrame:
 def j20(spark: SparkSession, sf: str) -> DataFrame:
     from quernix.sources.readers import under_prefix
 
-    t = tasks(spark, sf).select("task_id", "shard", "member_prefix").distinct()
+    t = table(spark, sf, "tasks").select("task_id", "shard", "member_prefix").distinct()
     members = t.select("shard", F.explode(F.array(*[F.concat("member_prefix", F.lit("/" + f)) for f in ("instruction.md", "tests/test.sh")])).alias("member")).distinct()
     return under_prefix(members, t).select("member", "task_id", "rel")
 

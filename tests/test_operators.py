@@ -116,15 +116,60 @@ def test_masks_by_two_ways():
         trained_spans(text, [True, True])
 
 
-def test_exclusive_quantiles(spark):
+def test_order_statistics(spark):
     import statistics
 
+    from quernix.operators.selection import order_statistics
+
     rng = random.Random(2)
-    for n in (1, 5, 10, 11, 57, 101, 250):
-        v = sorted(rng.random() for _ in range(n))
-        row = spark.createDataFrame([(v,)], "v array<double>").select(N.exclusive_quantile(F.col("v"), 10, 9).alias("a"), N.exclusive_quantile(F.col("v"), 100, 99).alias("b")).first()
-        assert row.a == pytest.approx(statistics.quantiles(v, n=10)[8] if n > 10 else v[-1])
-        assert row.b == pytest.approx(statistics.quantiles(v, n=100)[98] if n > 100 else v[-1])
+    sets = {n: sorted(rng.choice([rng.random(), 0.5]) for _ in range(n)) for n in (1, 5, 10, 11, 57, 101, 250)}
+    df = spark.createDataFrame([(n, v) for n, vs in sets.items() for v in vs] + [(1, None), (999, None)], "k int, v double").repartition(5)
+    places = {f"{name}{k}": lambda n, c=c, k=k: N.exclusive_places(n, *c) + k for name, c in (("a", (10, 9)), ("b", (100, 99))) for k in (0, 1)}
+    places["r"] = lambda n: N.nearest_rank_place(n, 0.9)
+    got = order_statistics(df, ["k"], "v", places)
+    rows = got.select("k", "r", N.exclusive_quantile(F.col("n"), F.col("a0"), F.col("a1"), 10, 9).alias("a"), N.exclusive_quantile(F.col("n"), F.col("b0"), F.col("b1"), 100, 99).alias("b")).collect()
+    assert {r.k for r in rows} == set(sets)
+    for r in rows:
+        v, n = sets[r.k], r.k
+        assert r.a == pytest.approx(statistics.quantiles(v, n=10)[8] if n > 10 else v[-1])
+        assert r.b == pytest.approx(statistics.quantiles(v, n=100)[98] if n > 100 else v[-1])
+        assert r.r == v[min(n - 1, int(0.9 * n))]
+
+
+def test_trained_chars_equal_spans(spark):
+    from quernix.functions.pyfunctions import trained_chars
+    from quernix.functions.text import chat_render
+
+    talks = [[("user", "a"), ("assistant", "b c")], [("user", "a"), ("assistant", "<think>\nx</think>y"), ("user", "é"), ("assistant", None)], [("system", "s"), ("user", "u"), ("assistant", ""), ("user", "v")]]
+    df = spark.createDataFrame([(t,) for t in talks], "m array<struct<role: string, content: string>>")
+    for r in df.select("m", chat_render(F.col("m")).alias("text"), trained_chars(F.col("m")).alias("n")).collect():
+        spans = trained_spans(r.text, [True] * sum(x.role == "assistant" for x in r.m))
+        assert r.n == sum(e - s for s, e in spans)
+
+
+def test_conversations_in_one_pass(spark):
+    from quernix.plans.sft_build import conversations
+
+    good = '{"analysis": "a", "plan": "b", "commands": [{"keystrokes": "ls\\n"}]}'
+    preamble = "Previous response had warnings:\n- x\n\nNew Terminal Output:\ny"
+    rows = [
+        ("ok", [("user", "q"), ("assistant", f"text {good}"), ("user", preamble), ("assistant", json.dumps(json.loads(good), indent=2)), ("user", preamble), ("assistant", good)]),
+        ("bad", [("user", "q"), ("assistant", "none"), ("user", " "), ("assistant", None)]),
+        ("null", None), ("empty", []), ("role", [(None, "x"), ("assistant", good)]), ("end", [("user", "x")]),
+    ]
+    df = spark.createDataFrame(rows, "id string, messages array<struct<role: string, content: string>>").withColumn("drop_reason", F.lit("old"))
+    got = {r.id: r for r in conversations(df).collect()}
+    ok = got["ok"]
+    assert ok.drop_reason is None and (ok.n_assistant_turns, ok.n_rewritten_turns) == (3, 2)
+    assert [m.content for m in ok.messages][2] == "New Terminal Output:\ny" and ok.messages[4].content == preamble
+    assert ok.messages[1].content == ok.messages[3].content == json.dumps(json.loads(good), indent=2)
+    assert ok.command_signature == hashlib.sha256(b"ls\n\0ls\n\0ls\n").hexdigest()
+    plain = [{"role": m.role, "content": m.content} for m in ok.messages]
+    assert ok.content_hash == hashlib.sha256(json.dumps(plain, sort_keys=True, ensure_ascii=False).encode()).hexdigest()
+    reasons = {k: r.drop_reason for k, r in got.items() if k != "ok"}
+    assert reasons == {"bad": "unparseable", "null": "empty_conversation", "empty": "empty_conversation", "role": "unexpected_role", "end": "not_assistant_terminated"}
+    assert got["null"].messages is None and got["empty"].messages == [] and got["null"].content_hash is None
+    assert conversations(df.where("false")).count() == 0
 
 
 def test_first_failure_order(spark):
