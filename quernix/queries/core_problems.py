@@ -108,6 +108,25 @@ def p4_splits(spark: SparkSession, sf: str) -> DataFrame:
     return assign_splits(rows, _group_entities(), "trajectory_id", PROPORTIONS, seed="42").select("trajectory_id", "task_group_id", "split")
 
 
+P4_SPLITS_SQL = r"""
+WITH RECURSIVE rows AS (
+  SELECT trajectory_id, task_group_id, CASE WHEN task_group_id IS NULL THEN 'record:' || coalesce(trajectory_id, '')
+    ELSE 'group:' || lower(regexp_replace(regexp_replace(task_group_id, '[@#][^@#]*\z', ''), '[^\pL\pN]', '', 'g')) END AS c FROM trajectories
+), sizes AS (SELECT c, count(*) AS n FROM rows GROUP BY 1
+), tot AS (SELECT count(*)::DOUBLE AS t FROM rows
+), heavy AS (SELECT c, n, row_number() OVER (ORDER BY n DESC, c) AS k FROM sizes, tot WHERE n > 0.01 * t
+), placed(k, c, split, train, validation, test) AS (
+  SELECT 0::BIGINT, NULL::VARCHAR, NULL::VARCHAR, 0.8 * t, 0.1 * t, 0.1 * t FROM tot
+  UNION ALL
+  SELECT k, c, s, train - CASE WHEN s = 'train' THEN n ELSE 0 END, validation - CASE WHEN s = 'validation' THEN n ELSE 0 END, test - CASE WHEN s = 'test' THEN n ELSE 0 END
+  FROM (SELECT h.k, h.c, h.n, p.train, p.validation, p.test, CASE WHEN p.validation >= p.train AND p.validation >= p.test THEN 'validation' WHEN p.train >= p.test THEN 'train' ELSE 'test' END AS s FROM placed p JOIN heavy h ON h.k = p.k + 1)
+), rest AS (SELECT greatest(0, train) AS a, greatest(0, validation) AS b, greatest(0, test) AS d FROM placed ORDER BY k DESC LIMIT 1
+), hashed AS (SELECT r.*, ('0x' || substr(sha256('42:' || r.c), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS h FROM rows r)
+SELECT trajectory_id, task_group_id, coalesce(p.split, CASE WHEN h < a / (a + b + d) THEN 'train' WHEN h < a / (a + b + d) + b / (a + b + d) THEN 'validation' ELSE 'test' END) AS split
+FROM hashed CROSS JOIN rest LEFT JOIN placed p ON p.c = hashed.c
+"""
+
+
 def _conversations(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     text = F.array_join(F.col("messages.content"), " ")
     return near_duplicate_classes(table(spark, sf, "sft_messages"), "trajectory_id", text, CONVERSATIONS)
@@ -123,4 +142,4 @@ def p5_groups(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {"p2_found": p2_found, "p2_share": p2_share, "p4_found": p4_found, "p4_splits": p4_splits, "p5_found": p5_found, "p5_groups": p5_groups}
-SQL = {"p2_found": P2_FOUND_SQL, "p2_share": P2_SHARE_SQL, "p4_found": P4_FOUND_SQL}
+SQL = {"p2_found": P2_FOUND_SQL, "p2_share": P2_SHARE_SQL, "p4_found": P4_FOUND_SQL, "p4_splits": P4_SPLITS_SQL}

@@ -79,11 +79,6 @@ def s08(spark: SparkSession, sf: str) -> DataFrame:
     return K.cached(spark, folder, key, lambda: spark.range(0).toDF("never"))
 
 
-@R.add("s09_log_lines", "SELECT doc_id, len(string_split(regexp_replace(text, '\\r\\n|\\r', chr(10), 'g'), chr(10)))::BIGINT AS lines FROM documents WHERE text IS NOT NULL")
-def s09(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").where("text is not null").select("doc_id", big(F.size(F.split("text", r"\r\n|\n|\r"))).alias("lines"))
-
-
 @R.add("s14_split_loader", f"WITH {TRAJ} SELECT coalesce(status, '?') AS split, count(*)::BIGINT AS n FROM traj WHERE status = 'completed' GROUP BY 1")
 def s14(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "splits")
@@ -141,7 +136,7 @@ def k12(spark: SparkSession, sf: str) -> DataFrame:
     return K.portable(K.task_pool_rows(pool, "/data/tasks")).select("label", F.col("metadata.task_dir").alias("task_dir"))
 
 
-@R.add("plan_task_pool", f"WITH {_POOL}, r AS (SELECT task_id, grp FROM k JOIN s USING (grp) WHERE n >= 4 AND p >= 0.1 AND p < 0.9 QUALIFY row_number() OVER (PARTITION BY grp ORDER BY task_id) <= 2) SELECT task_id, grp FROM r ORDER BY task_id LIMIT 60")
+@R.add("plan_task_pool", f"WITH {_POOL}, r AS (SELECT task_id, grp FROM k JOIN s USING (grp) WHERE n >= 4 AND p >= 0.1 AND p < 0.9 QUALIFY row_number() OVER (PARTITION BY grp ORDER BY task_id) <= 2) SELECT task_id, grp FROM r")
 def plan_pool(spark: SparkSession, sf: str) -> DataFrame:
     return task_pool.task_pool(tasks(spark, sf), trajectories(spark, sf), "sweet", per_group=2).select("task_id", "grp")
 
@@ -256,10 +251,14 @@ def st04(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out).select("session_id", "turns", "diverged")
 
 
-@R.add("x16_failure_classes", f"WITH {ATTEMPTS} SELECT CASE WHEN count(*) = 0 THEN 'empty' WHEN sum((returncode <> 0)::INT) = 0 THEN 'done' ELSE 'incomplete' END AS state, benchmark, run FROM att GROUP BY benchmark, run")
+@R.add("x16_failure_classes", f"WITH {ATTEMPTS}, w AS (SELECT benchmark, unnest(range(0, max(run) + 2)) AS run FROM att GROUP BY 1) SELECT CASE WHEN count(att.run) = 0 THEN 'empty' WHEN sum((returncode <> 0)::INT) = 0 THEN 'done' ELSE 'incomplete' END AS state, w.benchmark AS benchmark, w.run::INT AS run FROM w LEFT JOIN att ON w.benchmark = att.benchmark AND w.run = att.run GROUP BY w.benchmark, w.run")
 def x16(spark: SparkSession, sf: str) -> DataFrame:
-    bad = F.sum(big(F.col("returncode") != 0))
-    return attempts(spark, sf).groupBy("benchmark", "run").agg(F.when(bad == 0, "done").otherwise("incomplete").alias("state")).select("state", "benchmark", "run")
+    """State of each run of a benchmark up to the one after its last, of which nothing is there."""
+    rows = attempts(spark, sf, "returncode")
+    due = rows.groupBy("benchmark").agg(F.max("run").alias("last")).select("benchmark", F.explode(F.sequence(F.lit(0), F.col("last") + 1)).alias("run"))
+    seen = rows.groupBy("benchmark", "run").agg(F.sum(big(F.col("returncode") != 0)).alias("bad"))
+    state = F.when(F.col("seen").isNull(), "empty").when(F.col("bad") == 0, "done").otherwise("incomplete")
+    return due.join(seen.withColumn("seen", F.lit(True)), ["benchmark", "run"], "left").select(state.alias("state"), "benchmark", "run")
 
 
 @R.add("x09_format_errors", f"WITH {CHATS}, m AS (SELECT unnest(conversations) AS c FROM chat) SELECT c.role AS role, sum((starts_with(coalesce(c.content, ''), 'Format error:'))::INT)::BIGINT AS errors FROM m GROUP BY 1")

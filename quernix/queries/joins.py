@@ -109,10 +109,12 @@ def w07(spark: SparkSession, sf: str) -> DataFrame:
     return holdout_groups(trajectories(spark, sf).select("trajectory_id", "grp"), "grp", 12, 0.15).select("trajectory_id", "split")
 
 
-@R.add("a33_split_overlap", "SELECT 0::BIGINT AS shared")
+@R.add("a33_split_overlap", f"WITH {TRAJ}, g AS (SELECT grp FROM traj WHERE grp IS NOT NULL GROUP BY 1 ORDER BY sha256('1228:' || grp) LIMIT (SELECT least(12, floor(count(DISTINCT grp) * 0.15))::BIGINT FROM traj)), s AS (SELECT grp, CASE WHEN grp IN (SELECT grp FROM g) THEN 'holdout' ELSE 'train' END AS split FROM traj WHERE grp IS NOT NULL) SELECT sum((k > 1)::INT)::BIGINT AS shared, sum((k = 1 AND m = 'holdout')::INT)::BIGINT AS held FROM (SELECT grp, count(DISTINCT split) AS k, min(split) AS m FROM s GROUP BY 1)")
 def a33(spark: SparkSession, sf: str) -> DataFrame:
     split = holdout_groups(trajectories(spark, sf).select("trajectory_id", "grp"), "grp", 12, 0.15)
-    return shared_groups(split, "grp").agg(F.count(F.lit(1)).alias("shared"))
+    held = split.where("split = 'holdout' and grp is not null").select("grp").distinct().join(shared_groups(split, "grp"), "grp", "left_anti")
+    counts = shared_groups(split, "grp").select(F.lit(1).alias("s"), F.lit(0).alias("h")).unionByName(held.select(F.lit(0).alias("s"), F.lit(1).alias("h")))
+    return counts.agg(F.coalesce(F.sum("s"), F.lit(0)).alias("shared"), F.coalesce(F.sum("h"), F.lit(0)).alias("held"))
 
 
 # log probabilities of pairs, made from numeric columns; the reference model's for all but some pairs
@@ -260,16 +262,19 @@ def j20(spark: SparkSession, sf: str) -> DataFrame:
 
 @R.add(
     "u01_greedy_dedup",
-    f"""WITH RECURSIVE {SFT}, c AS (SELECT trajectory_id AS id, sha256(list_aggregate(list_transform(messages, lambda m: coalesce(m.content, '')), 'string_agg', ' ')[1:40]) AS content, task_group_id AS g, (len(messages) % 4)::INT AS sig FROM sft WHERE trajectory_id IS NOT NULL AND len(messages) > 0),
-    o AS (SELECT *, row_number() OVER (PARTITION BY sig ORDER BY id) AS k FROM (SELECT min(id) AS id, content, g, sig FROM c GROUP BY content, g, sig)) SELECT count(*)::BIGINT AS contents FROM (SELECT DISTINCT content FROM o)""",
+    f"""WITH RECURSIVE {SFT}, c AS (SELECT trajectory_id AS id, sha256(list_aggregate(list_transform(messages, lambda m: coalesce(m.content, '')), 'string_agg', ' ')) AS c, sha256(coalesce(task_group_id, '') || '|' || coalesce(messages[len(messages)].content, '')) AS b FROM sft WHERE trajectory_id IS NOT NULL AND len(messages) > 0),
+    o AS (SELECT *, row_number() OVER (ORDER BY id) AS k FROM c),
+    scan(k, id, kept, cs, bs) AS (SELECT 0::BIGINT, NULL::VARCHAR, false, []::VARCHAR[], []::VARCHAR[] UNION ALL
+      SELECT o.k, o.id, NOT list_contains(cs, o.c) AND NOT list_contains(bs, o.b), CASE WHEN NOT list_contains(cs, o.c) AND NOT list_contains(bs, o.b) THEN list_append(cs, o.c) ELSE cs END, CASE WHEN NOT list_contains(cs, o.c) AND NOT list_contains(bs, o.b) THEN list_append(bs, o.b) ELSE bs END FROM scan JOIN o ON o.k = scan.k + 1)
+    SELECT id AS trajectory_id FROM scan WHERE kept""",
 )
 def u01(spark: SparkSession, sf: str) -> DataFrame:
-    """Every content has exactly one kept row if each (content) has its own behaviour; here behaviour is the content too."""
+    """Conversations kept by their whole text and by task group and last message."""
     c = sft(spark, sf).where("trajectory_id is not null and size(messages) > 0")
     text = F.array_join(F.transform("messages", lambda m: F.coalesce(m["content"], F.lit(""))), " ")
-    c = c.select("trajectory_id", F.sha2(F.substring(text, 1, 40), 256).alias("content")).groupBy("trajectory_id").agg(F.min("content").alias("content"))
-    kept = greedy_two_key(c.withColumn("again", F.col("content")), "trajectory_id", "content", ["again"])
-    return kept.agg(F.count(F.lit(1)).alias("contents"))
+    last = F.concat(F.coalesce("task_group_id", F.lit("")), F.lit("|"), F.coalesce(F.element_at("messages", -1)["content"], F.lit("")))
+    keyed = c.select("trajectory_id", F.sha2(text, 256).alias("content"), F.sha2(last, 256).alias("behaviour"))
+    return greedy_two_key(keyed, "trajectory_id", "content", ["behaviour"]).select("trajectory_id")
 
 
 @R.add("u01_two_key_kept")

@@ -40,11 +40,12 @@ def x02(spark: SparkSession, sf: str) -> DataFrame:
     return t.select("doc_id", big(F.when(F.col("doc_id") % 5 == 0, n - len("New Terminal Output:")).otherwise(n)).alias("n"))
 
 
-@R.add("x03_fenced_blocks", f"WITH {CHATS}, m AS (SELECT trial_name, unnest(conversations) AS c FROM chat) SELECT trial_name, count(*)::BIGINT AS messages, sum(len(regexp_extract_all('```json {{' || substr(coalesce(c.content, ''), 1, 9) || '}} ``` x', '(?s)```(?:json|JSON)?\\s*(\\{{.*?\\}})\\s*```', 1)))::BIGINT AS blocks FROM m GROUP BY 1")
+@R.add("x03_fenced_blocks", f"WITH {CHATS}, m AS (SELECT trial_name, unnest(conversations) AS c FROM chat) SELECT trial_name, count(*)::BIGINT AS messages, sum(len(regexp_extract_all(coalesce(c.content, '') || chr(10) || '```json' || chr(10) || '{{' || coalesce(c.content, '') || '}}' || chr(10) || '```', '(?s)```(?:json|JSON)?\\s*(\\{{.*?\\}})\\s*```', 1)))::BIGINT AS blocks FROM m GROUP BY 1")
 def x03(spark: SparkSession, sf: str) -> DataFrame:
+    """Blocks of each message, whole, followed by itself in a fence."""
     m = chats(spark, sf).select("trial_name", F.explode("conversations").alias("c"))
-    text = F.concat(F.lit("```json {"), F.substring(F.coalesce("c.content", F.lit("")), 1, 9), F.lit("} ``` x"))
-    return m.groupBy("trial_name").agg(F.count(F.lit(1)).alias("messages"), F.sum(big(F.size(X.fenced_objects(text)))).alias("blocks"))
+    own = F.coalesce("c.content", F.lit(""))
+    return m.groupBy("trial_name").agg(F.count(F.lit(1)).alias("messages"), F.sum(big(F.size(X.fenced_objects(F.concat(own, F.lit("\n```json\n{"), own, F.lit("}\n```")))))).alias("blocks"))
 
 
 @R.add("x05_base_image", f"WITH {TASKS} SELECT task_id, CASE WHEN regexp_extract(coalesce(dockerfile, ''), '(?im)^\\s*FROM\\s+(\\S+)', 1) = '' THEN '?' ELSE regexp_extract(dockerfile, '(?im)^\\s*FROM\\s+(\\S+)', 1) END AS image FROM task")
@@ -52,9 +53,9 @@ def x05(spark: SparkSession, sf: str) -> DataFrame:
     return tasks(spark, sf, "dockerfile").select("task_id", X.base_image(F.col("dockerfile")).alias("image"))
 
 
-@R.add("x06_strip_scaffolding", "SELECT doc_id, len(rtrim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '))::BIGINT AS n FROM documents WHERE text IS NOT NULL AND NOT contains(text, '<')")
+@R.add("x06_strip_scaffolding", "SELECT doc_id, len(regexp_replace(text || chr(10) || '</parameter>' || chr(10) || '</function>' || chr(10) || '</tool_call>' || chr(10), '(?:[\\s\\x0b]*</?(?:parameter|function|tool_call)[^>]*>)+[\\s\\x0b]*\\z', ''))::BIGINT AS n FROM documents WHERE text IS NOT NULL")
 def x06(spark: SparkSession, sf: str) -> DataFrame:
-    t = table(spark, sf, "documents").where(F.col("text").isNotNull() & ~F.col("text").contains("<"))
+    t = table(spark, sf, "documents").where("text is not null")
     return t.select("doc_id", big(F.length(X.strip_scaffolding(F.concat("text", F.lit("\n</parameter>\n</function>\n</tool_call>\n"))))).alias("n"))
 
 
@@ -332,12 +333,13 @@ def x73(spark: SparkSession, sf: str) -> DataFrame:
     return g.select("model", N.expected_steps(F.col("n"), 16, 2).alias("e")).select("model", "e.steps", r6("e.tolerance").alias("tolerance"))
 
 
-@R.add("w12_splice_scoldings", f"WITH {CHATS}, k AS (SELECT trial_name, len(conversations) AS n, len(list_filter(conversations, lambda m: m.role = 'assistant')) AS a FROM chat) SELECT trial_name, (n - a)::BIGINT AS kept, a::BIGINT AS removed FROM k")
+@R.add("w12_splice_scoldings", f"WITH {CHATS}, k AS (SELECT trial_name, len(conversations) AS n, len(list_filter(conversations, lambda m: m.role = 'assistant' AND len(coalesce(m.content, '')) % 2 = 1)) AS a FROM chat) SELECT trial_name, (n - a)::BIGINT AS kept, a::BIGINT AS removed FROM k")
 def w12(spark: SparkSession, sf: str) -> DataFrame:
-    """Every answer followed by a scolding and nothing else, so that all answers go."""
+    """Every answer of an odd number of characters is followed by a scolding, so that these answers go and others stay."""
     scold = lambda m: F.array(F.struct(m["role"].alias("role"), m["content"].alias("content")), F.struct(F.lit("user").alias("role"), F.lit("Format error: no call").alias("content")))
     plain = lambda m: F.array(F.struct(m["role"].alias("role"), m["content"].alias("content")))
-    longer = F.flatten(F.transform("conversations", lambda m: F.when(m["role"] == "assistant", scold(m)).otherwise(plain(m))))
+    scolded = lambda m: (m["role"] == "assistant") & (F.length(F.coalesce(m["content"], F.lit(""))) % 2 == 1)
+    longer = F.flatten(F.transform("conversations", lambda m: F.when(scolded(m), scold(m)).otherwise(plain(m))))
     return chats(spark, sf).select("trial_name", Q.splice_format_errors(longer).alias("s")).select("trial_name", big(F.size("s.messages")).alias("kept"), big("s.removed").alias("removed"))
 
 

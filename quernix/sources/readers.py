@@ -5,15 +5,19 @@ from __future__ import annotations
 import hashlib
 import io
 import json
+import re
 import tarfile
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quernix.functions import text as X
+from quernix.runtime import ship
 
 
 def _utf8(c: str) -> Column:
@@ -44,32 +48,52 @@ def tagged_union(parts: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def _opened(path: str, at_place: bool = False):
+    """A file of any file system that pyarrow knows, for reading at places or from front to end, in a task."""
+    where, inner = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path) if ":" in path else f"file://{path}")
+    return where.open_input_file(inner) if at_place else where.open_input_stream(inner)
+
+
+def _paths(spark: SparkSession, path: str | list[str], glob: str | None = None, deep: bool = False) -> DataFrame:
+    """(path, size_bytes) of files, one row each in its own task as far as there are cores; contents aren't read."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", deep)
+    found = (reader.option("pathGlobFilter", glob) if glob else reader).load(path).select("path", F.col("length").alias("size_bytes"))
+    return found.repartition(max(1, min(found.count(), 4 * spark.sparkContext.defaultParallelism)), "path")
+
+
 _TAR_SCHEMA = "shard string, member string, content binary"
 
 
-def _members(pdf: pd.DataFrame, suffix: str) -> Iterator[tuple[str, str, bytes]]:
-    for shard, content in zip(pdf["path"], pdf["content"], strict=True):
-        with tarfile.open(fileobj=io.BytesIO(content)) as tar:
-            for m in tar:
-                if not m.isfile() or not m.name.endswith(suffix):
-                    continue
-                yield shard.rsplit("/", 1)[-1], m.name, tar.extractfile(m).read()
+def _members(tar: tarfile.TarFile, path: str, suffix: str) -> Iterator[pd.DataFrame]:
+    for m in tar:
+        if m.isfile() and m.name.endswith(suffix):
+            yield pd.DataFrame([(path.rsplit("/", 1)[-1], m.name, tar.extractfile(m).read())], columns=["shard", "member", "content"])
 
 
 def expand_tars(archives: DataFrame, suffix: str = "") -> DataFrame:
-    """(shard, member, content) of the files in archives (path, content). An archive is the unit of work."""
+    """(shard, member, content) of the files in archives (path, content) that are at hand as rows."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for row in _members(pdf, suffix):
-                yield pd.DataFrame([row], columns=["shard", "member", "content"])
+            for path, content in zip(pdf["path"], pdf["content"], strict=True):
+                with tarfile.open(fileobj=io.BytesIO(content)) as tar:
+                    yield from _members(tar, path, suffix)
 
     return archives.select("path", "content").mapInPandas(run, _TAR_SCHEMA)
 
 
 def tar_members(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
-    """expand_tars of the archives in a folder."""
-    return expand_tars(spark.read.format("binaryFile").option("pathGlobFilter", "*.tar").load(path), suffix)
+    """(shard, member, content) of the files in the archives of a folder. Archives of any size: they are read from front
+    to end in a task, of which it holds one member at a time."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for p in pdf["path"]:
+                with _opened(p) as stream, tarfile.open(fileobj=stream, mode="r|*") as tar:
+                    yield from _members(tar, p, suffix)
+
+    ship(spark)
+    return _paths(spark, path, "*.tar").select("path").mapInPandas(run, _TAR_SCHEMA)
 
 
 def wanted_members(members: DataFrame, wanted: DataFrame, name: str = "trajectory.json") -> DataFrame:
@@ -111,10 +135,20 @@ def json_lines(spark: SparkSession, path: str, schema: T.StructType | str) -> Da
 
 
 def log_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(file, line_no, text) of text files, undecodable bytes replaced. A file is numbered where it is read."""
-    raw = spark.read.format("binaryFile").load(paths)
-    lines = F.split(_utf8("content"), r"\r\n|\n|\r")
-    return raw.select(F.col("path").alias("file"), F.posexplode(lines).alias("line_no", "text"))
+    """(file, line_no, text) of text files, undecodable bytes replaced, lines ended by \\n, \\r or both. A file is read
+    line by line in one task, so that its lines can be numbered; it may be of any size."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for p in pdf["path"]:
+                with _opened(p) as stream, io.TextIOWrapper(stream, encoding="utf-8", errors="replace", newline=None) as lines:
+                    at = 0
+                    while part := [x.removesuffix("\n") for x in islice(lines, 20_000)]:
+                        yield pd.DataFrame({"file": p, "line_no": range(at, at + len(part)), "text": part})
+                        at += len(part)
+
+    ship(spark)
+    return _paths(spark, paths).select("path").mapInPandas(run, "file string, line_no int, text string")
 
 
 def newest_logs(spark: SparkSession, folder: str, k: int = 4) -> list[str]:
@@ -155,26 +189,41 @@ def task_folders(spark: SparkSession, root: str) -> DataFrame:
 
 
 def safetensors_catalogue(spark: SparkSession, path: str) -> DataFrame:
-    """(key, shard, dtype, shape, nbytes) of weight files: 8 bytes of length, then a JSON header."""
+    """(key, shard, dtype, shape, nbytes) of weight files: 8 bytes of length, then a JSON header. Nothing else is read."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for p, head in zip(pdf["path"], pdf["content"], strict=True):
-                n = int.from_bytes(head[:8], "little")
-                for key, e in json.loads(head[8 : 8 + n]).items():
+            for p in pdf["path"]:
+                with _opened(p, at_place=True) as f:
+                    header = json.loads(f.read_at(int.from_bytes(f.read_at(8, 0), "little"), 8))
+                for key, e in header.items():
                     if key != "__metadata__":
                         rows.append((key, p.rsplit("/", 1)[-1], e["dtype"], list(e["shape"]), e["data_offsets"][1] - e["data_offsets"][0]))
             yield pd.DataFrame(rows, columns=["key", "shard", "dtype", "shape", "nbytes"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.safetensors").load(path)
-    return files.select("path", "content").mapInPandas(run, "key string, shard string, dtype string, shape array<bigint>, nbytes bigint")
+    ship(spark)
+    return _paths(spark, path, "*.safetensors").select("path").mapInPandas(run, "key string, shard string, dtype string, shape array<bigint>, nbytes bigint")
 
 
-def file_fingerprints(spark: SparkSession, path: str, head: int = 1 << 20) -> DataFrame:
-    """(name, size_bytes, head_sha256, sha256) of files."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), F.col("length").alias("size_bytes"), F.sha2(F.expr(f"substring(content, 1, {head})"), 256).alias("head_sha256"), F.sha2("content", 256).alias("sha256"))
+def file_fingerprints(spark: SparkSession, path: str, head: int = 1 << 20, whole: bool = True) -> DataFrame:
+    """(name, size_bytes, head_sha256, sha256) of files. Without whole only their heads are read and sha256 is null; with
+    it they are read piece by piece."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for p, size in zip(pdf["path"], pdf["size_bytes"], strict=True):
+                with _opened(p) as f:
+                    first = f.read(head)
+                    digest = hashlib.sha256(first)
+                    while whole and (piece := f.read(1 << 22)):
+                        digest.update(piece)
+                rows.append((p.rsplit("/", 1)[-1], size, hashlib.sha256(first).hexdigest(), digest.hexdigest() if whole else None))
+            yield pd.DataFrame(rows, columns=["name", "size_bytes", "head_sha256", "sha256"])
+
+    ship(spark)
+    return _paths(spark, path).mapInPandas(run, "name string, size_bytes bigint, head_sha256 string, sha256 string")
 
 
 def fingerprint(files: DataFrame, config: str) -> str:

@@ -33,12 +33,16 @@ def write_splits(df: DataFrame, path: str) -> None:
 
 
 def write_text(spark: SparkSession, path: str, content: str) -> None:
+    write_bytes(spark, path, content.encode())
+
+
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
     """A small document, whole or not at all: written beside its place, then renamed."""
     fs, target = _fs(spark, path)
     part = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.partial-{uuid.uuid4().hex[:8]}")
     out = fs.create(part, True)
     try:
-        out.write(bytearray(content.encode()))
+        out.write(bytearray(content))
     finally:
         out.close()
     fs.delete(target, False)
@@ -97,14 +101,37 @@ def exclusions(leaked: DataFrame, path: str) -> bool:
 
 
 def publish(spark: SparkSession, parts: dict[str, DataFrame], target: str) -> None:
-    """Several tables that appear together: all are written aside, then the folder is renamed."""
+    """Several tables that appear together: all are written aside, the old folder is renamed away, the new one put in its
+    place, and only then the old one deleted. If that fails the old one is put back."""
     fs, place = _fs(spark, target)
-    aside = f"{target}.staging-{uuid.uuid4().hex[:8]}"
+    mark = uuid.uuid4().hex[:8]
+    aside, old = (spark._jvm.org.apache.hadoop.fs.Path(f"{target}.{kind}-{mark}") for kind in ("staging", "old"))
     for name, df in parts.items():
-        df.write.parquet(f"{aside}/{name}")
-    fs.delete(place, True)
-    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(aside), place):
+        df.write.parquet(f"{target}.staging-{mark}/{name}")
+    had = fs.exists(place)
+    if had and not fs.rename(place, old):
+        raise OSError(f"could not set {target} aside")
+    if not fs.rename(aside, place):
+        if had:
+            fs.rename(old, place)
         raise OSError(f"could not publish {target}")
+    fs.delete(old, True)
+
+
+def write_provenance(spark: SparkSession, folder: str, **settings: object) -> str:
+    """What a scoring run is made with, written before it begins; its signature."""
+    told = {"signature": cache_signature(**settings), **settings}
+    write_text(spark, f"{folder}/provenance.json", json.dumps(told, sort_keys=True, default=str))
+    return told["signature"]
+
+
+def finish_provenance(scores: DataFrame, folder: str, signature: str) -> dict:
+    """The manifest of a scoring run, written when its table is whole: number of rows under the signature it began with."""
+    spark = scores.sparkSession
+    scores.write.mode("overwrite").parquet(f"{folder}/scores")
+    doc = {"signature": signature, "rows": spark.read.parquet(f"{folder}/scores").count()}
+    write_text(spark, f"{folder}/manifest.json", json.dumps(doc))
+    return doc
 
 
 def cache_signature(**settings: object) -> str:
