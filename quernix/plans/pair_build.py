@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quernix.functions import arrays as A
 from quernix.functions.text import canonical_prompt
+from quernix.functions.tokens import DEFAULT_TOKENIZER, with_conversation_tokens
 from quernix.operators.dedup import first_by
 from quernix.operators.gates import completed
 from quernix.operators.selection import balanced_sides, form_pairs, pair_id
@@ -25,11 +26,12 @@ def candidates(trajectories: DataFrame, per_side: int = 14, across: bool = True,
     return balanced_sides(pool, "grp", "model", "trajectory_id", F.col("reward") >= 1.0, per_side, seed, across)
 
 
-def token_rows(messages: DataFrame) -> DataFrame:
+def token_rows(messages: DataFrame, tokenizer: str = DEFAULT_TOKENIZER) -> DataFrame:
     """(trajectory_id, prompt, ids, mask) of conversations, one row an id."""
     one = first_by(messages.where("trajectory_id is not null and size(messages) > 0"), ["trajectory_id"], [F.sha2(F.to_json("messages"), 256)])
     m = F.col("messages")
-    return one.select("trajectory_id", F.coalesce(m[0]["content"], F.lit("")).alias("prompt"), A.message_ids(m).alias("ids"), A.message_mask(m).alias("mask"))
+    told = with_conversation_tokens(one.select("trajectory_id", "messages"), path=tokenizer)
+    return told.select("trajectory_id", F.coalesce(m[0]["content"], F.lit("")).alias("prompt"), F.col("input_ids").alias("ids"), F.col("loss_mask").alias("mask"))
 
 
 def build_pairs(trajectories: DataFrame, messages: DataFrame, per_side: int = 14, cap: int = 4, across: bool = True, key: str = "prompt_sha256") -> DataFrame:

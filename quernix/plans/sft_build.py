@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quernix.functions import arrays as A
 from quernix.functions.pyfunctions import canonical_turns, content_hash
+from quernix.functions.tokens import DEFAULT_TOKENIZER, with_conversation_tokens
 from quernix.operators.dedup import greedy_two_key
 from quernix.operators.gates import first_failure, trainable
 from quernix.operators.selection import holdout_until, rotate_sources
@@ -76,11 +76,13 @@ def conversations(df: DataFrame, turns: str = "messages") -> DataFrame:
     return told.withColumn("drop_reason", F.coalesce(reason, F.col("__qx_wrong"), ends)).drop("__qx_wrong")
 
 
-def build(trajectories: DataFrame, messages: DataFrame, per_group: int = 10, max_tokens: int = 32_768, holdout: int = 256, seed: int = 1228) -> DataFrame:
+def build(trajectories: DataFrame, messages: DataFrame, per_group: int = 10, max_tokens: int = 32_768, holdout: int = 256, seed: int = 1228, tokenizer: str = DEFAULT_TOKENIZER) -> DataFrame:
     """Conversations to train on, with split: selection on metadata first, texts are read for selected rows only."""
     picked = rotate_sources(trajectories.where(trainable(trajectories)).select("trajectory_id", "grp", "model"), "grp", "model", "trajectory_id", per_group, seed)
     rows = messages.join(picked, "trajectory_id").dropDuplicates(["trajectory_id"])
     built = stage(conversations(rows).where("drop_reason is null"), "built")
     kept = greedy_two_key(built, "trajectory_id", "content_hash", ["grp", "command_signature"])
-    sized = kept.withColumn("n_tokens", F.size(A.message_ids(F.col("messages"))).cast("bigint")).where(F.col("n_tokens") <= max_tokens)
+    # the ids aren't needed beyond their number here
+    measured = with_conversation_tokens(kept, path=tokenizer).drop("loss_mask")
+    sized = measured.withColumn("n_tokens", F.size("input_ids").cast("bigint")).drop("input_ids").where(F.col("n_tokens") <= max_tokens)
     return holdout_until(sized, "grp", holdout, 0.15, seed)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quernix.functions.tokens import bpe_sql
 from quernix.operators.dedup import first_by
 from quernix.queries.core_problems import group_key, model_key
 from quernix.runtime import table
@@ -78,6 +79,11 @@ def sft(spark: SparkSession, sf: str, *columns: Column | str) -> DataFrame:
 SFT = "sft AS (SELECT DISTINCT * FROM sft_messages)"
 
 
+#: A conversation m as it is rendered, and the token ids of every conversation by trajectory_id (key), after SFT.
+RENDER = """list_aggregate(list_transform(m, lambda x, i: '<|im_start|>' || x.role || chr(10) || CASE WHEN i = len(m) AND x.role = 'assistant' THEN '<think>' || chr(10) || chr(10) || '</think>' || chr(10) || chr(10) ELSE '' END || coalesce(x.content, '') || '<|im_end|>' || chr(10)), 'string_agg', '')"""
+TOKENS = f"talk AS (SELECT trajectory_id AS key, {RENDER} AS text FROM (SELECT trajectory_id, messages AS m FROM sft)), {bpe_sql('talk')}"
+
+
 def chats(spark: SparkSession, sf: str, *columns: Column | str) -> DataFrame:
     return _without_copies(table(spark, sf, "chat_source"), ["trial_name"], columns)
 

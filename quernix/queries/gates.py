@@ -11,7 +11,8 @@ from quernix.functions.numeric import tier_of
 from quernix.operators import gates as G
 from quernix.operators.outcomes import scorable, solved
 from quernix.operators.selection import long_enough_else_longest
-from quernix.queries.base import ATTEMPTS, CHATS, SFT, TASKS, TRAJ, Registry, attempts, big, chats, r6, sft, tasks, trajectories
+from quernix.functions.tokens import bpe_sql, with_conversation_tokens, with_token_ids
+from quernix.queries.base import TOKENS, ATTEMPTS, CHATS, SFT, TASKS, TRAJ, Registry, attempts, big, chats, r6, sft, tasks, trajectories
 from quernix.runtime import table
 from quernix.sources.readers import parquet_parts, tagged_union
 
@@ -118,15 +119,20 @@ def f08(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").where(X.has_any(F.col("text"), _LITERALS)).select("doc_id")
 
 
-@R.add("f09_length_gate", f"WITH {SFT} SELECT CASE WHEN n_tokens > 700 THEN 'too_long' WHEN n_tokens IS NULL THEN 'unmeasured' ELSE 'kept' END AS drop_reason, count(*)::BIGINT AS n FROM sft GROUP BY 1")
+@R.add("f09_length_gate", f"WITH RECURSIVE {SFT}, {TOKENS} SELECT CASE WHEN len(ids) > 700 THEN 'too_long' WHEN len(ids) = 0 THEN 'unmeasured' ELSE 'kept' END AS drop_reason, count(*)::BIGINT AS n FROM encoded GROUP BY 1")
 def f09(spark: SparkSession, sf: str) -> DataFrame:
-    return G.reason_counts(G.gate(sft(spark, sf, "n_tokens").select("n_tokens"), [("too_long", F.col("n_tokens") > 700), ("unmeasured", F.col("n_tokens").isNull())]))
+    """Conversations by their real length in tokens; none is cut."""
+    n = F.size("input_ids")
+    rows = with_conversation_tokens(sft(spark, sf).select("messages")).select("input_ids")
+    return G.reason_counts(G.gate(rows, [("too_long", n > 700), ("unmeasured", n == 0)]))
 
 
-@R.add("f10_contract_gate", "SELECT doc_id, list_transform(string_split(text, ' '), lambda w: len(w)) = list_transform(string_split(trim(text), ' '), lambda w: len(w)) AS same FROM documents WHERE text IS NOT NULL AND text <> ''")
+@R.add("f10_contract_gate", f"WITH RECURSIVE src AS (SELECT doc_id || 'a' AS key, text FROM documents WHERE text <> '' UNION ALL SELECT doc_id || 'b', trim(text) FROM documents WHERE text <> ''), {bpe_sql('src')} SELECT key[:-2]::BIGINT AS doc_id, count(DISTINCT ids) = 1 AS same FROM encoded GROUP BY 1")
 def f10(spark: SparkSession, sf: str) -> DataFrame:
-    t = table(spark, sf, "documents").where("text is not null and text <> ''")
-    return t.select("doc_id", (A.piece_lengths(F.col("text")) == A.piece_lengths(F.trim("text"))).alias("same"))
+    """Whether the ids of a text are those that are expected, here the ids of the text without blanks at its ends."""
+    t = table(spark, sf, "documents").where("text is not null and text <> ''").select("doc_id", "text")
+    got = with_token_ids(t, F.col("text")).withColumnRenamed("input_ids", "got")
+    return with_token_ids(got, F.trim("text")).select("doc_id", (F.col("got") == F.col("input_ids")).alias("same"))
 
 
 @R.add("f11_text_equality_gate", f"WITH {TASKS} SELECT task_id FROM task WHERE instruction = trim(instruction) AND dockerfile = rtrim(dockerfile, chr(10)) || chr(10)")
@@ -134,17 +140,15 @@ def f11(spark: SparkSession, sf: str) -> DataFrame:
     return tasks(spark, sf).where((F.col("instruction") == F.trim("instruction")) & (F.col("dockerfile") == F.concat(F.rtrim("dockerfile", F.lit("\n")), F.lit("\n")))).select("task_id")
 
 
-_IDS = "flatten(list_transform(messages, lambda m: list_transform(string_split(coalesce(m.content, ''), ' '), lambda w: len(w))))"
-_MASK = "flatten(list_transform(messages, lambda m: list_transform(string_split(coalesce(m.content, ''), ' '), lambda w: CASE WHEN m.role = 'assistant' THEN 1 ELSE 0 END)))"
 
 
 @R.add(
     "f12_mask_gate",
-    f"""WITH {SFT}, t AS (SELECT {_IDS} AS ids, {_MASK} AS mask FROM sft)
-    SELECT drop_reason, count(*)::BIGINT AS n FROM (SELECT CASE WHEN len(ids) <> len(mask) THEN 'misaligned' WHEN len(ids) = 0 THEN 'empty' WHEN list_sum(mask) = 0 THEN 'no_trained_tokens' WHEN mask[1] = 1 THEN 'leading_trained_token' ELSE 'kept' END AS drop_reason FROM t) GROUP BY 1""",
+    f"""WITH {SFT} SELECT CASE WHEN coalesce(len(messages), 0) = 0 THEN 'empty' WHEN len(list_filter(messages, lambda m: m.role = 'assistant')) = 0 THEN 'no_trained_tokens' ELSE 'kept' END AS drop_reason, count(*)::BIGINT AS n FROM sft GROUP BY 1""",
 )
 def f12(spark: SparkSession, sf: str) -> DataFrame:
-    t = sft(spark, sf).select(A.message_ids(F.col("messages")).alias("ids"), A.message_mask(F.col("messages")).alias("mask"))
+    """Masks of rendered conversations: every answer is trained with its end marker, the header before it never."""
+    t = with_conversation_tokens(sft(spark, sf).select("messages")).select(F.col("input_ids").alias("ids"), F.col("loss_mask").alias("mask"))
     return G.reason_counts(t.withColumn("drop_reason", A.mask_reason(F.col("ids"), F.col("mask"))))
 
 

@@ -13,7 +13,8 @@ from quernix.functions import arrays as A
 from quernix.functions import text as X
 from quernix.plans import evaluation as E
 from quernix.plans import sft_build, task_pool
-from quernix.queries.base import ATTEMPTS, CHATS, SFT, TASKS, TRAJ, Registry, attempts, big, chats, r6, sft, tasks, trajectories
+from quernix.functions.tokens import with_conversation_tokens
+from quernix.queries.base import TOKENS, ATTEMPTS, CHATS, SFT, TASKS, TRAJ, Registry, attempts, big, chats, r6, sft, tasks, trajectories
 from quernix.queries.gates import pairs
 from quernix.runtime import scratch, ship, table
 from quernix.sources import readers as S
@@ -100,16 +101,16 @@ def k01(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def token_table(spark: SparkSession, sf: str) -> DataFrame:
-    m = F.col("messages")
-    t = sft(spark, sf).select(A.message_ids(m).alias("input_ids"), A.message_mask(m).alias("loss_mask"), "trajectory_id", "task_group_id", "model_name")
+    rows = sft(spark, sf).select("messages", "trajectory_id", "task_group_id", "model_name")
+    t = with_conversation_tokens(rows).drop("messages")
     return t.withColumn("n_tokens", big(F.size("input_ids"))).withColumn("n_trained_tokens", A.total(F.col("loss_mask")))
 
 
-@R.add("k02_token_table", f"WITH {SFT} SELECT trajectory_id, list_sum(list_transform(messages, lambda m: len(string_split(coalesce(m.content, ''), ' '))))::BIGINT AS n_tokens FROM sft")
+@R.add("k02_token_table", f"WITH RECURSIVE {SFT}, {TOKENS} SELECT key AS trajectory_id, len(ids)::BIGINT AS n_tokens, coalesce(list_sum(ids), 0)::BIGINT AS ids_sum FROM encoded")
 def k02(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "tokens")
     K.write_tokens(token_table(spark, sf), path)
-    return spark.read.parquet(path).select("trajectory_id", "n_tokens")
+    return spark.read.parquet(path).select("trajectory_id", "n_tokens", A.total(F.col("input_ids")).alias("ids_sum"))
 
 
 @R.add("k04_manifest", f"WITH {SFT} SELECT count(*)::BIGINT AS n_rows, count(DISTINCT task_group_id)::BIGINT AS n_groups, sum(coalesce(n_tokens, 0))::BIGINT AS total_tokens, round(quantile_cont(coalesce(n_tokens, 0), 0.9), 6) AS p90 FROM sft")
@@ -158,7 +159,7 @@ def plan_chat(spark: SparkSession, sf: str) -> DataFrame:
     return sft_build.conversations(chats(spark, sf), "conversations").groupBy(F.coalesce("drop_reason", F.lit("kept")).alias("drop_reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@R.add("r01_data_findings", f"WITH {SFT}, tok AS (SELECT flatten(list_transform(messages, lambda m: list_transform(string_split(coalesce(m.content, ''), ' '), lambda w: CASE WHEN m.role = 'assistant' THEN 1 ELSE 0 END))) AS mask FROM sft) SELECT 'data' AS area, 'too_long' AS \"check\", CASE WHEN sum((len(mask) > 600)::INT) > 0 THEN 'FAIL' ELSE 'OK' END AS level, sum((len(mask) > 600)::INT)::VARCHAR AS detail FROM tok UNION ALL SELECT 'data', 'untrained', CASE WHEN sum((list_sum(mask) = 0)::INT) > 0 THEN 'FAIL' ELSE 'OK' END, sum((list_sum(mask) = 0)::INT)::VARCHAR FROM tok")
+@R.add("r01_data_findings", f"WITH RECURSIVE {SFT}, {TOKENS}, t AS (SELECT count(*) FILTER (len(ids) > 600) AS long, (SELECT count(*) FROM sft WHERE coalesce(len(list_filter(messages, lambda m: m.role = 'assistant')), 0) = 0) AS bare FROM encoded) SELECT 'data' AS area, 'too_long' AS \"check\", CASE WHEN long > 0 THEN 'FAIL' ELSE 'OK' END AS level, long::VARCHAR AS detail FROM t UNION ALL SELECT 'data', 'untrained', CASE WHEN bare > 0 THEN 'FAIL' ELSE 'OK' END, bare::VARCHAR FROM t")
 def r01(spark: SparkSession, sf: str) -> DataFrame:
     f = E.token_table_findings(token_table(spark, sf), 600)
     return f.where(F.col("check").isin("too_long", "untrained")).select("area", "check", "level", "detail")

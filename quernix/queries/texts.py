@@ -12,7 +12,8 @@ from quernix.functions import text as X
 from quernix.operators import outcomes as O
 from quernix.operators import sequences as Q
 from quernix.queries.aggregates import tokens
-from quernix.queries.base import ATTEMPTS, CHATS, SFT, TASKS, TRAJ, Registry, attempts, big, chats, r6, sft, tasks, trajectories
+from quernix.functions.tokens import bpe_sql, with_token_ids
+from quernix.queries.base import RENDER, ATTEMPTS, CHATS, SFT, TASKS, TRAJ, Registry, attempts, big, chats, r6, sft, tasks, trajectories
 from quernix.runtime import ship, stage, table
 
 R = Registry()
@@ -118,10 +119,14 @@ def x17(spark: SparkSession, sf: str) -> DataFrame:
     return attempts(spark, sf).select("benchmark", "run", "task_id", X.classify_outcome(text).alias("c")).select("benchmark", "run", "task_id", "c.marker", "c.kind")
 
 
-_RENDER = """list_aggregate(list_transform(m, lambda x, i: '<|im_start|>' || x.role || chr(10) || CASE WHEN i = len(m) AND x.role = 'assistant' THEN '<think>' || chr(10) || chr(10) || '</think>' || chr(10) || chr(10) ELSE '' END || coalesce(x.content, '') || '<|im_end|>' || chr(10)), 'string_agg', '')"""
+@R.add("x27_token_lengths", f"WITH RECURSIVE src AS (SELECT doc_id AS key, text FROM documents), {bpe_sql('src')} SELECT key AS doc_id, len(ids)::BIGINT AS n_tokens, coalesce(list_sum(ids), 0)::BIGINT AS ids_sum FROM encoded")
+def x27(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens of each text and the sum of their ids."""
+    rows = with_token_ids(table(spark, sf, "documents").select("doc_id", "text"), F.col("text"))
+    return rows.select("doc_id", big(F.size("input_ids")).alias("n_tokens"), A.total(F.col("input_ids")).alias("ids_sum"))
 
 
-@R.add("x18_chat_render", f"WITH {CHATS} SELECT trial_name, sha256({_RENDER}) AS rendered FROM (SELECT trial_name, conversations AS m FROM chat WHERE len(conversations) > 0)")
+@R.add("x18_chat_render", f"WITH {CHATS} SELECT trial_name, sha256({RENDER}) AS rendered FROM (SELECT trial_name, conversations AS m FROM chat WHERE len(conversations) > 0)")
 def x18(spark: SparkSession, sf: str) -> DataFrame:
     return chats(spark, sf).where("size(conversations) > 0").select("trial_name", F.sha2(X.chat_render(F.col("conversations")), 256).alias("rendered"))
 
@@ -225,7 +230,7 @@ def x36(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", F.coalesce(F.try_variant_get(F.try_parse_json("props"), "$.k", "bigint"), F.lit(-1).cast("bigint")).alias("k"))
 
 
-@R.add("x40_content_hash")
+@R.add("x40_content_hash", f"WITH {SFT} SELECT count(messages)::BIGINT AS rows, count(DISTINCT messages)::BIGINT AS contents FROM sft")
 def x40(spark: SparkSession, sf: str) -> DataFrame:
     ship(spark)
     h = sft(spark, sf).select(P.content_hash_udf("messages").alias("h"))

@@ -276,3 +276,22 @@ def test_form_pairs_equals_loop(spark):
             want |= {(w[0], lo[0]) for w, lo in pairs}
         got = S.form_pairs(spark.createDataFrame(rows, "id string, k string, m string, win boolean"), "k", "m", "id", "win", cap)
         assert {(r.chosen, r.rejected) for r in got.collect()} == want
+
+
+def test_conversation_tokens_and_mask(spark):
+    from quernix.functions.text import chat_render
+    from quernix.functions.tokens import DEFAULT_TOKENIZER, tokenizer, with_conversation_tokens, with_token_ids
+
+    talks = [[("user", "a b"), ("assistant", "<think>\nx</think>é 😀 y"), ("user", "c"), ("assistant", "d")], [("system", "s"), ("user", "<|endoftext|>")], [], None]
+    df = spark.createDataFrame([(k, t, "old") for k, t in enumerate(talks)], "k int, messages array<struct<role: string, content: string>>, input_ids string")
+    t = tokenizer(DEFAULT_TOKENIZER)
+    for r in with_conversation_tokens(df).withColumn("text", chat_render(F.col("messages"))).collect():
+        if not r.messages:
+            assert r.input_ids == [] and r.loss_mask == []
+            continue
+        e = t.encode(r.text, add_special_tokens=False)
+        on = {p for a, b in trained_spans(r.text, [True] * sum(m.role == "assistant" for m in r.messages)) for p in range(a, b)}
+        assert r.input_ids == e.ids and r.loss_mask == [int(any(p in on for p in range(a, b))) for a, b in e.offsets]
+        assert r.loss_mask[0] == 0 and (sum(r.loss_mask) > 0) == (r.k == 0)
+    texts = spark.createDataFrame([("a  b\n\n c",), ("",), (None,)], "text string")
+    assert [r.input_ids for r in with_token_ids(texts, F.col("text")).collect()] == [t.encode("a  b\n\n c", add_special_tokens=False).ids, [], []]
