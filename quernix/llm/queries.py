@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quernix.functions.tokens import bpe_sql
 from quernix.llm.leaks import find_leaks, remove_leaked
 from quernix.llm.packing import pack
 from quernix.llm.pairs import defective_pairs
@@ -53,6 +54,19 @@ def p7_containers(spark: SparkSession, sf: str) -> DataFrame:
     return pack(sizes, "doc_id", "n_tokens", CONTAINER_TOKENS)
 
 
+def p7_placed(spark: SparkSession, sf: str) -> DataFrame:
+    """Of each document its number of pieces and tokens, and whether all containers that it is in hold their capacity."""
+    placed = stage(p7_containers(spark, sf), "placed")
+    fill = placed.where("container_id is not null").groupBy("container_id").agg(F.sum("size").alias("fill"))
+    rows = placed.join(fill, "container_id", "left")
+    return rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("pieces"), F.sum("size").alias("tokens"), (F.max(F.coalesce("fill", F.lit(0))) <= CONTAINER_TOKENS).alias("fits"))
+
+
+_ENCODED = f"WITH RECURSIVE src AS (SELECT doc_id AS key, text FROM documents), {bpe_sql('src')}"
+P6_IDS_SQL = f"{_ENCODED} SELECT key AS doc_id, ids FROM encoded"
+P7_PLACED_SQL = f"{_ENCODED} SELECT key AS doc_id, greatest(1, (len(ids) + {CONTAINER_TOKENS - 1}) // {CONTAINER_TOKENS})::BIGINT AS pieces, len(ids)::BIGINT AS tokens, true AS fits FROM encoded"
+
+
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return document_subjects(table(spark, sf, "documents"), table(spark, sf, "subject_areas"), table(spark, sf, "doc_labels"))
 
@@ -66,5 +80,5 @@ def p8_composition(spark: SparkSession, sf: str) -> DataFrame:
     return rows.groupBy("subject").agg(F.count(F.lit(1)).alias("documents"), F.sum(1 / F.col("k")).alias("document_parts"), F.sum(F.col("chars") / F.col("k")).alias("chars"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_matches": p1_matches, "p1_clean": p1_clean, "p3_found": p3_found, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found, "p8_composition": p8_composition}
-SQL: dict[str, str] = {}
+QUERIES = {"p1_found": p1_found, "p1_matches": p1_matches, "p1_clean": p1_clean, "p3_found": p3_found, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_placed": p7_placed, "p8_found": p8_found, "p8_composition": p8_composition}
+SQL: dict[str, str] = {"p6_ids": P6_IDS_SQL, "p7_placed": P7_PLACED_SQL}
