@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from quernix.functions.words import WordHasher, mix, shingles, words
 from quernix.operators.components import connected_components
-from quernix.operators.skew import keep_likely
+from quernix.operators.skew import keep_likely, salted_join
 from quernix.runtime import ship, stage
 
 
@@ -234,6 +234,10 @@ def _exact(c: SignatureJoin):
     return run
 
 
+#: Members of a class that are joined with its representative in one task.
+_CLASS_TOGETHER = 100_000
+
+
 def near_duplicate_classes(df: DataFrame, id_col: str, text: Column, c: SignatureJoin) -> tuple[DataFrame, DataFrame]:
     """(members, links): members (id, rep) puts every record with at least one word sequence into the class of records
     with exactly its sequences, rep being the least id; links (rep_a, rep_b) are all pairs of different classes whose
@@ -246,9 +250,11 @@ def near_duplicate_classes(df: DataFrame, id_col: str, text: Column, c: Signatur
     texts = df.select(F.col(id_col).alias("id"), text.alias("text")).where("id is not null and text is not null")
     signed = stage(signatures(texts, c), "signatures")
     # the digest tells classes apart; h is its short name in the join, and a clash of two names only costs a check
-    classes = signed.groupBy("digest").agg(F.min("id").alias("rep"), F.min("lanes").alias("lanes"))
-    reps = stage(classes.select("digest", "rep", "lanes", F.xxhash64("digest").alias("h")), "reps")
-    members = signed.select("id", "digest").distinct().join(reps.select("digest", "rep"), "digest").select("id", "rep")
+    classes = signed.groupBy("digest").agg(F.min("id").alias("rep"), F.min("lanes").alias("lanes"), F.count(F.lit(1)).alias("size"))
+    reps = stage(classes.select("digest", "rep", "lanes", "size", F.xxhash64("digest").alias("h")), "reps")
+    # a class may hold a third of all rows
+    salts = 1 + (reps.agg(F.max("size")).first()[0] or 0) // _CLASS_TOGETHER
+    members = salted_join(signed.select("id", "digest").distinct(), reps.select("digest", "rep"), ["digest"], F.col("id"), "inner", min(salts, 1000)).select("id", "rep")
     pairs = candidate_pairs(reps.select("h", "lanes"), c)
     left = reps.select(F.col("h").alias("a"), F.col("lanes").alias("la"))
     right = reps.select(F.col("h").alias("b"), F.col("lanes").alias("lb"))

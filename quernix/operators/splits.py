@@ -40,12 +40,16 @@ def assign_splits(
     seed: str = "0",
     heavy: float = 0.01,
     salts: int = 8,
+    pinned: DataFrame | None = None,
 ) -> DataFrame:
     """df with component and split, all records tied by any shared entity in the same split.
 
     Components holding more than `heavy` of all rows (fewer than 1/heavy of them, hence a bounded list) go, largest
     first, to the split that lacks most rows; the others fall by the hash of their component into ranges whose widths
     are what each split still lacks. So shares stay near the proportions even with one very large component.
+    These widths follow the data, so a later run over more rows may place a component elsewhere: hand it the placements
+    of the run before as pinned (component, split). A pinned component keeps its split and counts as that split's rows;
+    a component that has grown together of several keeps that of its least name.
     Defined cases: a null entity ties nothing; a record without entities is its own component, by record_id (records
     with a null id too are placed together); repeated rows go together; columns of df named component or split are
     replaced; an empty table gives an empty one.
@@ -61,8 +65,13 @@ def assign_splits(
     rows = rows.withColumn(COMP, F.coalesce(COMP, NODE)).drop(NODE, ENTS)
     sizes = stage(rows.groupBy(COMP).agg(F.count(F.lit(1)).alias("n")), "component-sizes")
     total = sizes.agg(F.sum("n")).first()[0] or 0
-    big = sizes.where(F.col("n") > heavy * total).orderBy(F.desc("n"), COMP).collect()
     lacks = {s: p / total_p * total for s, p in proportions.items()}
+    if pinned is not None:
+        pins = pinned.where(F.col("split").isin(list(proportions))).groupBy(COMP).agg(F.min("split").alias("__qx_pin"))
+        for r in sizes.join(pins, COMP).groupBy("__qx_pin").agg(F.sum("n").alias("n")).collect():
+            lacks[r["__qx_pin"]] -= r["n"]
+        sizes = sizes.join(pins, COMP, "left_anti")
+    big = sizes.where(F.col("n") > heavy * total).orderBy(F.desc("n"), COMP).collect()
     placed = {}
     for r in big:
         s = max(lacks, key=lambda k: (lacks[k], k))
@@ -79,4 +88,11 @@ def assign_splits(
     pick = F.lit(names[-1]) if pick is None else pick.otherwise(F.lit(names[-1]))
     for c, s in placed.items():
         pick = F.when(F.col(COMP) == c, F.lit(s)).otherwise(pick)
-    return rows.withColumn("split", pick)
+    if pinned is None:
+        return rows.withColumn("split", pick)
+    return salted_join(rows, pins, [COMP], F.col(record_id), "left", salts).withColumn("split", F.coalesce("__qx_pin", pick)).drop("__qx_pin")
+
+
+def placements(assigned: DataFrame) -> DataFrame:
+    """(component, split) of a result of assign_splits, to be kept and handed to the next run."""
+    return assigned.select(COMP, "split").distinct()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quernix.functions.numeric import tier_of
 from quernix.operators.gates import completed
-from quernix.queries.core_problems import group_key
+from quernix.functions.text import group_key
 
 
 def group_stats(trajectories: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quernix.functions.text import group_key, model_key
 from quernix.operators.caps import cap_contributors
 from quernix.operators.neardup import SignatureJoin, expand_pairs, near_duplicate_classes, near_duplicate_groups
 from quernix.operators.splits import assign_splits, tie_entities
@@ -15,16 +16,6 @@ PROPORTIONS = {"train": 0.8, "validation": 0.1, "test": 0.1}
 CONVERSATIONS = SignatureJoin(width=3, similarity=0.6)
 
 
-def group_key(c: Column) -> Column:
-    """A task group however it is written: letters and digits in lower case, without a closing mark of @ or #."""
-    return F.lower(F.regexp_replace(F.regexp_replace(c, r"[@#][^@#]*\z", ""), r"[^\p{L}\p{N}]", ""))
-
-
-def model_key(c: Column) -> Column:
-    """A model however it is written: letters and digits in lower case, without an owner in front of a slash."""
-    return F.lower(F.regexp_replace(F.regexp_replace(c, r"(?s)^.*/", ""), r"[^\p{L}\p{N}]", ""))
-
-
 def valid_trajectories(spark: SparkSession, sf: str) -> DataFrame:
     """One row per trajectory_id, that of the latest ingested_at; of equal ones the better reward."""
     t = table(spark, sf, "trajectories").where("trajectory_id is not null")

@@ -229,3 +229,18 @@ def test_share_of_a_contributor_of_one_quality(spark, monkeypatch):
         own = sorted((r for r in rows if r[0] == c), key=lambda r: (r[1] is None or r[1] != r[1], -(r[1] or 0.0) if r[1] == r[1] else 0.0, r[2]))
         want |= {r[2] for r in own[:cap]}
     assert got == want
+
+
+def test_pinned_components_stay(spark):
+    from quernix.operators.splits import placements
+
+    of = {"train": 0.5, "test": 0.5}
+    rows = [(f"r{k}", f"g{k % 40}") for k in range(400)]
+    df = lambda rs: spark.createDataFrame(rs, "id string, g string")
+    first = assign_splits(df(rows), {"g": F.col("g")}, "id", of)
+    pins = placements(first)
+    before = {r.component: r.split for r in pins.collect()}
+    more = rows + [(f"n{k}", "g1") for k in range(300)] + [(f"m{k}", f"h{k % 30}") for k in range(300)]
+    after = assign_splits(df(more), {"g": F.col("g")}, "id", of, pinned=pins).collect()
+    assert len(after) == len(more) and all(before.get(r.component, r.split) == r.split for r in after)
+    assert 0.35 < sum(r.split == "train" for r in after) / len(more) < 0.65

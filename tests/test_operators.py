@@ -295,3 +295,17 @@ def test_conversation_tokens_and_mask(spark):
         assert r.loss_mask[0] == 0 and (sum(r.loss_mask) > 0) == (r.k == 0)
     texts = spark.createDataFrame([("a  b\n\n c",), ("",), (None,)], "text string")
     assert [r.input_ids for r in with_token_ids(texts, F.col("text")).collect()] == [t.encode("a  b\n\n c", add_special_tokens=False).ids, [], []]
+
+
+def test_greedy_dedup_of_a_long_chain(spark):
+    """Each row shares its content with the one before it or its behaviour with the one after it, in turn."""
+    rows = [(k, f"c{(k + 1) // 2}", f"b{k // 2}") for k in range(60)] + [(100 + k, f"c{k}", "z") for k in range(3)]
+    seen_c, seen_b, want = set(), set(), []
+    for i, c, b in rows:
+        if c not in seen_c and b not in seen_b:
+            want.append(i)
+            seen_c.add(c)
+            seen_b.add(b)
+    df = spark.createDataFrame(rows, "id bigint, c string, b string")
+    for most in (2, 200):
+        assert sorted(r.id for r in greedy_two_key(df, "id", "c", ["b"], max_rounds=most).collect()) == want
