@@ -11,6 +11,7 @@ import json
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
@@ -93,6 +94,12 @@ def _automaton(phrases: tuple[str, ...]) -> ahocorasick.Automaton:
     return a
 
 
+@lru_cache(maxsize=1)
+def _triggers() -> ahocorasick.Automaton:
+    """The longest word of each way to decline; without any of them nothing declines, however it is spaced and marked."""
+    return _automaton(tuple({max(split_words(p), key=len) for p in REFUSALS}))
+
+
 class WordAutomaton:
     """Suffix automaton of a sequence of words."""
 
@@ -172,6 +179,8 @@ def is_refusal(folded: str, asked: list[str], refusals: ahocorasick.Automaton) -
     """Declines, and no sentence of it answers anything: each declines, or is short and takes up nothing of the question,
     as thanks, regrets and advice to go elsewhere do. folded: the answer in folded form; asked: words of the question."""
     # typographic apostrophes, markup and odd spacing don't count; sentence marks and line ends do
+    if not next(_triggers().iter(folded), None):
+        return False
     text = folded
     for mark, instead in _MARKUP:
         text = text.replace(mark, instead)
@@ -330,16 +339,15 @@ def loose_end(answer: str) -> tuple[bool, str | None]:
 
 
 def _shape(ws: list[str]) -> list[str]:
-    return [_DIGITS.sub("9", w) for w in ws]
+    return [w if w.isalpha() else _DIGITS.sub("9", w) for w in ws]
 
 
-def count_ends(folded: str, ends: Counter, every: Counter) -> None:
-    """Adds how often each (previous word, word) ends a sentence or line of an answer in folded form, and how often it
-    occurs at all. The unpunctuated end of the text itself counts as neither."""
-    parts = _END.split(_DIGITS.sub("9", folded))
-    for k, part in enumerate(parts):
-        ws = split_words(part)
+def count_ends(parts: list[list[str]], ends: Counter, every: Counter) -> None:
+    """Adds how often each (previous word, word) ends a sentence or line of an answer, given as the words of its
+    sentences and lines, and how often it occurs at all. The unpunctuated end of the text itself counts as neither."""
+    for k, ws in enumerate(parts):
         if ws:
+            ws = _shape(ws)
             pairs = list(zip(["", *ws], ws, strict=False))
             if k < len(parts) - 1:
                 ends[pairs[-1]] += 1
@@ -348,12 +356,12 @@ def count_ends(folded: str, ends: Counter, every: Counter) -> None:
             every.update(pairs)
 
 
-def judge(question: str | None, answer: str | None, folded: str, refusals: ahocorasick.Automaton) -> tuple[str | None, str | None]:
-    """(defect, tail) of a pair; tail as in loose_end, where only other answers can tell. folded: the answer folded."""
+def judge(question: str | None, answer: str | None, folded: str, said: list[str], refusals: ahocorasick.Automaton) -> tuple[str | None, str | None]:
+    """(defect, tail) of a pair; tail as in loose_end, where only other answers can tell. folded: the answer folded; said: its words."""
     if answer is None or is_empty(answer):
         return "empty", None
     question = question or ""
-    asked, said = words(question), split_words(folded)
+    asked = words(question)
     if is_copy(answer, asked, said):
         return "copy", None
     if is_refusal(folded, asked, refusals):
@@ -389,8 +397,9 @@ def _inspect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind, told = b.column("trial_name").type, []
         for k, (q, a) in enumerate(zip(b.column("question").to_pylist(), b.column("answer").to_pylist(), strict=True)):
             folded = fold(a) if a else ""
-            count_ends(folded, ends, every)
-            defect, tail = judge(q, a, folded, refusals)
+            parts = [split_words(x) for x in _END.split(folded)]
+            count_ends(parts, ends, every)
+            defect, tail = judge(q, a, folded, [w for ws in parts for w in ws], refusals)
             if defect or tail:
                 told.append((k, defect, *(tail.split("\t") if tail else (None, None, None))))
         at = pa.array([t[0] for t in told], pa.int64())
