@@ -12,6 +12,7 @@ import zipfile
 from pathlib import Path
 from urllib.parse import urlparse
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 _own_folder: dict[str, str] = {}
@@ -56,6 +57,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder, removed at the end of the application."""
+    if not _staged:
+        # registered after the JVM's own end, hence run before it
+        atexit.unregister(_drop_staged)
+        atexit.register(_drop_staged)
     path = f"{shared_folder(spark)}/quernix-{label}-{uuid.uuid4().hex[:12]}"
     _staged.append(path)
     return path
@@ -70,16 +75,22 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 
 def _drop_staged() -> None:
+    """Deletes what is staged, at the end of the application; on a shared store as long as the JVM can be reached."""
+    jvm = SparkContext._jvm
     for path in _staged:
         parts = urlparse(path)
         if parts.scheme in ("", "file"):
             shutil.rmtree(parts.path, ignore_errors=True)
             if os.path.isfile(parts.path):
                 os.remove(parts.path)
+        elif jvm is not None:
+            try:
+                place = jvm.org.apache.hadoop.fs.Path(path)
+                place.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(place, True)
+            except Exception:  # noqa: BLE001 - the end of an application must not fail for its leftovers
+                break
 
 
-atexit.register(_drop_staged)
-
 def _hadoop_path(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p

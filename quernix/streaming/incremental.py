@@ -11,6 +11,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from quernix.operators.sequences import assemble_turns
+from quernix.sources.readers import existing
 
 
 def score_new(spark: SparkSession, source: str, schema: StructType, score: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str, key: str = "pair_id") -> None:
@@ -19,11 +20,10 @@ def score_new(spark: SparkSession, source: str, schema: StructType, score: Calla
 
     def write(batch: DataFrame, _: int) -> None:
         todo = batch
-        try:
-            todo = batch.join(spark.read.parquet(sink).select(key), key, "left_anti")
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
+        if existing(spark, [sink]):
+            # of the sink only the keys are read
+            done = spark.read.schema(batch.select(key).schema).parquet(sink)
+            todo = batch.join(done, key, "left_anti")
         score(todo.dropDuplicates([key])).write.mode("append").parquet(sink)
 
     q = spark.readStream.schema(schema).parquet(source).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
