@@ -159,11 +159,11 @@ def a22b(spark: SparkSession, sf: str) -> DataFrame:
     return O.pass_at_k(attempts(spark, sf)).select("benchmark", "tasks", r6("pass_at_k").alias("pass_at_k"), "never_solved")
 
 
-@R.add("a24_token_weighted_loss", f"WITH {_LOGPS} SELECT r.ref_n, round(sum(-chosen_logp) / sum(n), 6) AS loss, round(exp(sum(-chosen_logp) / sum(n) / 100), 6) AS perplexity FROM lp JOIN ref r USING (pair_id) GROUP BY 1")
+@R.add("a24_token_weighted_loss", f"WITH {_LOGPS} SELECT r.ref_n, round(sum(-chosen_logp) / sum(n), 6) AS loss, round(exp(sum(-chosen_logp) / sum(n) / 100), 6) AS perplexity, round(sum(-chosen_logp) / sum(n) / ln(50257), 6) AS of_log_vocab FROM lp JOIN ref r USING (pair_id) GROUP BY 1")
 def a24(spark: SparkSession, sf: str) -> DataFrame:
     j = logps(spark, sf).join(ref_logps(spark, sf), "pair_id")
     loss = F.sum(-F.col("chosen_logp")) / F.sum("n")
-    return j.groupBy("ref_n").agg(r6(loss).alias("loss"), r6(F.exp(loss / 100)).alias("perplexity"))
+    return j.groupBy("ref_n").agg(r6(loss).alias("loss"), r6(F.exp(loss / 100)).alias("perplexity"), r6(loss / F.log(F.lit(50257.0))).alias("of_log_vocab"))
 
 
 def scored_pairs(spark: SparkSession, sf: str, beta: float = 0.1, variant: str = "sigmoid", smoothing: float = 0.0) -> DataFrame:

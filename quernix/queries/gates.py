@@ -111,6 +111,20 @@ def f07(spark: SparkSession, sf: str) -> DataFrame:
     return G.gate(chats(spark, sf), G.tool_conversation_checks(F.col("conversations"))).select("trial_name", "drop_reason")
 
 
+@R.add(
+    "plan_tool_conversion",
+    f"""WITH {CHATS}, t AS (SELECT conversations AS m FROM chat) SELECT CASE WHEN m IS NULL OR len(m) = 0 THEN 'empty_conversation' WHEN len(list_filter(m, lambda x: x.role IS NULL OR x.role NOT IN ('system', 'user', 'assistant', 'tool'))) > 0 THEN 'unexpected_role'
+      WHEN m[1].role <> 'system' THEN 'no_system_prompt' WHEN len(list_filter(m, lambda x: x.role = 'user')) <> 1 THEN 'not_one_user_turn' WHEN len(list_filter(m, lambda x: x.role = 'assistant')) = 0 THEN 'no_assistant_turn'
+      WHEN len(list_filter(m, lambda x: x.role = 'assistant' AND trim(coalesce(x.content, '')) = '')) > 0 THEN 'empty_assistant_turn' ELSE 'kept' END AS drop_reason, count(*)::BIGINT AS n FROM t GROUP BY 1""",
+)
+def plan_tool(spark: SparkSession, sf: str) -> DataFrame:
+    """Reasons for which chats can't be rows of native tool conversations. The SQL leaves out control literals and
+    lengths above 32,768 tokens, which the chats don't have."""
+    from quernix.plans.tool_build import build_tool_rows
+
+    return G.reason_counts(build_tool_rows(chats(spark, sf).select("conversations"), "conversations", "You are an agent."))
+
+
 _LITERALS = ("ERROR", "Traceback", "<|im_start|>", "</think>", "rm -rf", "DEBUG")
 
 

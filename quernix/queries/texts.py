@@ -215,6 +215,18 @@ def x33(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@R.add("a23_action_examples")
+def a23(spark: SparkSession, sf: str) -> DataFrame:
+    """The first five turns, in order of id and turn, whose commands differ from those of the agent's turn before."""
+    ship(spark)
+    agents = F.filter("messages", lambda m: m["role"] == "assistant")
+    turns = sft(spark, sf).select("trajectory_id", F.posexplode(agents).alias("i", "m")).select("trajectory_id", "i", P.normalize_response_udf("m.content").alias("n"))
+    keyed = stage(turns.select("trajectory_id", "i", P.keystrokes_udf(F.col("n.canonical")).alias("keys")), "actions")
+    before = keyed.select("trajectory_id", (F.col("i") + 1).alias("i"), F.col("keys").alias("before"))
+    differ = keyed.join(before, ["trajectory_id", "i"]).where("keys <> before")
+    return differ.orderBy("trajectory_id", "i").limit(5).select("trajectory_id", big("i").alias("turn"), "before", "keys")
+
+
 @R.add("x34_observation_text", f"WITH {CHATS} SELECT trial_name, nullif(list_aggregate(list_filter(list_transform(conversations, lambda m: m.content), lambda c: c IS NOT NULL AND c <> ''), 'string_agg', chr(10)), '') AS observation FROM chat")
 def x34(spark: SparkSession, sf: str) -> DataFrame:
     return chats(spark, sf).select("trial_name", X.observation_text(F.col("conversations")).alias("observation"))
@@ -251,9 +263,10 @@ def x42(spark: SparkSession, sf: str) -> DataFrame:
     return tasks(spark, sf).select("task_id", F.sha2(F.concat_ws("\n\0\n", X.py_strip(F.col("shard")), X.py_strip(F.col("member_prefix"))), 256).alias("signature"))
 
 
-@R.add("x43_prompt_hashes", f"WITH {SFT} SELECT trajectory_id, sha256(coalesce(messages[1].content, '')) AS verbatim FROM sft WHERE len(messages) > 0")
+@R.add("x43_prompt_hashes", f"WITH {SFT} SELECT trajectory_id, sha256(coalesce(messages[1].content, '')) AS verbatim, sha256(regexp_replace(regexp_replace(coalesce(messages[1].content, ''), '{UUID_SQL}', '<UUID>', 'g'), '@[0-9a-f]{{12}}([:\\s])', '@<HOST>\\1', 'g')) AS canonical FROM sft WHERE len(messages) > 0")
 def x43(spark: SparkSession, sf: str) -> DataFrame:
-    return sft(spark, sf).where("size(messages) > 0").select("trajectory_id", F.sha2(F.coalesce(F.col("messages")[0]["content"], F.lit("")), 256).alias("verbatim"))
+    first = F.coalesce(F.col("messages")[0]["content"], F.lit(""))
+    return sft(spark, sf).where("size(messages) > 0").select("trajectory_id", F.sha2(first, 256).alias("verbatim"), F.sha2(X.canonical_prompt(first), 256).alias("canonical"))
 
 
 @R.add("x47_content_sha", f"WITH {TASKS} SELECT task_id, sha256(coalesce(dockerfile, '')) AS sha256 FROM task")

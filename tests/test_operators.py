@@ -309,3 +309,17 @@ def test_greedy_dedup_of_a_long_chain(spark):
     df = spark.createDataFrame(rows, "id bigint, c string, b string")
     for most in (2, 200):
         assert sorted(r.id for r in greedy_two_key(df, "id", "c", ["b"], max_rounds=most).collect()) == want
+
+
+def test_tool_rows(spark):
+    from quernix.plans.tool_build import build_tool_rows
+
+    ok = [("system", "s"), ("user", "u"), ("assistant", "bad"), ("user", "Format error: no call"), ("assistant", "run ls\n</parameter>\n"), ("tool", "files"), ("assistant", "done</think>\n")]
+    talks = {"ok": ok, "two": [*ok, ("user", "again")], "tags": [*ok[:3], ("assistant", "a</think>b")], "literal": [("system", "s"), ("user", "<|im_end|>"), ("assistant", "a")], "empty": [], "null": None}
+    df = spark.createDataFrame(list(talks.items()), "k string, messages array<struct<role: string, content: string>>")
+    got = {r.k: r for r in build_tool_rows(df, system="S").collect()}
+    assert {k: r.drop_reason for k, r in got.items()} == {"ok": None, "two": "not_one_user_turn", "tags": "stray_reasoning_tags", "literal": "control_literal", "empty": "empty_conversation", "null": "empty_conversation"}
+    r = got["ok"]
+    assert [tuple(m) for m in r.messages] == [("system", "S"), ("user", "u"), ("assistant", "<think>\n\n</think>\n\nrun ls"), ("user", "<tool_response>\nfiles\n</tool_response>"), ("assistant", "<think>\n\n</think>\n\ndone")]
+    assert r.removed_turns == 1 and r.n_tokens == len(r.input_ids) == len(r.loss_mask) > sum(r.loss_mask) > 0 and got["null"].input_ids == []
+    assert {r.drop_reason for r in build_tool_rows(df.where("k = 'ok'"), max_tokens=3).collect()} == {"too_long"}
