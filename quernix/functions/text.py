@@ -155,14 +155,15 @@ def classify_outcome(text: Column) -> Column:
     return F.struct(kind.alias("kind"), marker.alias("marker"))
 
 
-def chat_render(messages: Column) -> Column:
-    """Turns between markers; the last turn, if an assistant's, opens with an empty reasoning block."""
+def chat_render(messages: Column, opener: bool = True) -> Column:
+    """Turns between markers; the last turn, if an assistant's, opens with an empty reasoning block, unless opener is off
+    because its content has one."""
     n = F.size(messages)
     turns = F.transform(
         messages,
         lambda m, i: F.concat(
             F.lit("<|im_start|>"), m["role"], F.lit("\n"),
-            F.when((i == n - 1) & (m["role"] == "assistant"), F.lit("<think>\n\n</think>\n\n")).otherwise(F.lit("")),
+            F.when((i == n - 1) & (m["role"] == "assistant") & F.lit(opener), F.lit("<think>\n\n</think>\n\n")).otherwise(F.lit("")),
             F.coalesce(m["content"], F.lit("")), F.lit("<|im_end|>\n"),
         ),
     )

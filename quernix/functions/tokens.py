@@ -40,11 +40,11 @@ def with_token_ids(df: DataFrame, text: Column, path: str = DEFAULT_TOKENIZER) -
     return _with_tokens(df, text, F.lit(None).cast("int"), path, False)
 
 
-def with_conversation_tokens(df: DataFrame, turns: str = "messages", path: str = DEFAULT_TOKENIZER) -> DataFrame:
+def with_conversation_tokens(df: DataFrame, turns: str = "messages", path: str = DEFAULT_TOKENIZER, opener: bool = True) -> DataFrame:
     """df with input_ids and loss_mask of the rendered conversation: 1 for tokens that overlap what assistants say, found
     by the offsets of tokens in the render. Null and empty turns have no tokens; columns of these names are replaced."""
     m = F.col(turns)
-    return _with_tokens(df, F.when(F.size(m) > 0, chat_render(m)), F.size(F.filter(m, lambda x: x["role"] == "assistant")), path, True)
+    return _with_tokens(df, F.when(F.size(m) > 0, chat_render(m, opener)), F.size(F.filter(m, lambda x: x["role"] == "assistant")), path, True)
 
 
 def _with_tokens(df: DataFrame, text: Column, answers: Column, path: str, masked: bool) -> DataFrame:

@@ -31,6 +31,6 @@ def build_tool_rows(df: DataFrame, turns: str = "messages", system: str = "", ma
     checks = [*tool_conversation_checks(F.col("__qx_s.messages")), ("stray_reasoning_tags", beyond), ("control_literal", F.exists(r, lambda m: X.has_any(F.coalesce(m["content"], F.lit("")), X.CONTROL_LITERALS)))]
     rows = rows.withColumn("drop_reason", first_failure(checks)).withColumn("removed_turns", F.coalesce("__qx_s.removed", F.lit(0)))
     flat = F.when(F.col("drop_reason").isNull(), X.pre_render(r, F.lit(system))).otherwise(F.lit(None).cast(kind))
-    told = with_conversation_tokens(rows.withColumn("__flat", flat).drop("__qx_s", "__qx_r"), "__flat", tokenizer)
+    told = with_conversation_tokens(rows.withColumn("__flat", flat).drop("__qx_s", "__qx_r"), "__flat", tokenizer, opener=False)
     n = F.size("input_ids").cast("bigint")
     return told.withColumn(turns, F.coalesce("__flat", F.col(turns).cast(kind))).withColumn("n_tokens", n).withColumn("drop_reason", F.coalesce("drop_reason", F.when(n > max_tokens, "too_long"))).drop("__flat")

@@ -321,5 +321,9 @@ def test_tool_rows(spark):
     assert {k: r.drop_reason for k, r in got.items()} == {"ok": None, "two": "not_one_user_turn", "tags": "stray_reasoning_tags", "literal": "control_literal", "empty": "empty_conversation", "null": "empty_conversation"}
     r = got["ok"]
     assert [tuple(m) for m in r.messages] == [("system", "S"), ("user", "u"), ("assistant", "<think>\n\n</think>\n\nrun ls"), ("user", "<tool_response>\nfiles\n</tool_response>"), ("assistant", "<think>\n\n</think>\n\ndone")]
+    from quernix.functions.tokens import DEFAULT_TOKENIZER, tokenizer as library
+
+    text = "".join(f"<|im_start|>{m.role}\n{m.content}<|im_end|>\n" for m in r.messages)
+    assert r.input_ids == library(DEFAULT_TOKENIZER).encode(text, add_special_tokens=False).ids
     assert r.removed_turns == 1 and r.n_tokens == len(r.input_ids) == len(r.loss_mask) > sum(r.loss_mask) > 0 and got["null"].input_ids == []
     assert {r.drop_reason for r in build_tool_rows(df.where("k = 'ok'"), max_tokens=3).collect()} == {"too_long"}
