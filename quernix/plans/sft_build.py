@@ -85,4 +85,5 @@ def build(trajectories: DataFrame, messages: DataFrame, per_group: int = 10, max
     # the ids aren't needed beyond their number here
     measured = with_conversation_tokens(kept, path=tokenizer).drop("loss_mask")
     sized = measured.withColumn("n_tokens", F.size("input_ids").cast("bigint")).drop("input_ids").where(F.col("n_tokens") <= max_tokens)
-    return holdout_until(sized, "grp", holdout, 0.15, seed)
+    # read three times by the holdout
+    return holdout_until(stage(sized, "sized"), "grp", holdout, 0.15, seed)
