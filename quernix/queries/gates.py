@@ -243,12 +243,12 @@ def pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 @R.add("f13_pair_gate")
 def f13(spark: SparkSession, sf: str) -> DataFrame:
-    return G.reason_counts(G.gate(pairs(spark, sf), G.pair_checks(max_len=600, least_shared=1, max_divergence=90, max_ratio=1.5)))
+    return G.reason_counts(G.gate(pairs(spark, sf), G.pair_checks(max_len=2000, least_shared=1, max_divergence=90, max_ratio=1.5)))
 
 
 @R.add("f14_pair_length")
 def f14(spark: SparkSession, sf: str) -> DataFrame:
-    return pairs(spark, sf).where(F.greatest("chosen_n_tokens", "rejected_n_tokens") <= 600).select("pair_id", "chosen_n_tokens", "rejected_n_tokens")
+    return pairs(spark, sf).where(F.greatest("chosen_n_tokens", "rejected_n_tokens") <= 2000).select("pair_id", "chosen_n_tokens", "rejected_n_tokens")
 
 
 QUERIES, SQL = R.queries, R.sql
