@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quernix.operators.selection import ranked_by_ranges
 from quernix.operators.skew import salted_join
-from quernix.runtime import stage
+from quernix.runtime import free_shuffles, stage
 
 BIN, QUALITY, TIE, CUT, ROOM, RANK = ("__qx_bin", "__qx_quality", "__qx_tie", "__qx_cut", "__qx_room", "__qx_rank")
 
@@ -64,7 +64,11 @@ def cap_contributors(
     if cuts.count() <= BROADCAST_CUTS:
         told = work.join(F.broadcast(cuts), keys, "left")
     else:
+        # joined once and staged, as each of the two uses below would move all rows again
+        free_shuffles(df.sparkSession)
         told = salted_join(work, cuts, keys, F.col(tie), "left", salts)
+        told = stage(told.where(F.col(CUT).isNull() | (F.col(BIN) >= F.col(CUT))), "told")
+        free_shuffles(df.sparkSession)
     stays = told.where(F.col(CUT).isNull() | (F.col(BIN) > F.col(CUT)))
     border = told.where(F.col(BIN) == F.col(CUT))
     order = [F.col(QUALITY).desc_nulls_last(), F.col(tie)]

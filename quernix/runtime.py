@@ -74,6 +74,11 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets go of the shuffle files of what is staged; else they stay until the driver happens to collect its garbage."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def _drop_staged() -> None:
     """Deletes what is staged, at the end of the application; on a shared store as long as the JVM can be reached."""
     jvm = SparkContext._jvm

@@ -231,6 +231,19 @@ def test_share_of_a_contributor_of_one_quality(spark, monkeypatch):
     assert got == want
 
 
+def test_many_cutoffs_are_joined_once(spark, monkeypatch):
+    """Beyond the cutoffs that are broadcast, what a cap gives has no join left in it, which would move all rows a second time."""
+    from quernix.operators import caps
+
+    monkeypatch.setattr(caps, "BROADCAST_CUTS", 0)
+    rng = random.Random(5)
+    qs = [None, float("nan"), 0.0, 1.0, 1.0, 0.5, rng.random()]
+    rows = [(f"i{k:04d}", rng.choice(["hot"] * 8 + ["a", "b", "c", None]), rng.choice(qs), "x", k) for k in range(600)]
+    got = caps.cap_contributors(spark.createDataFrame(rows, CAPS), ["g"], 3, "q", "id")
+    assert sorted(r.id for r in got.collect()) == brute_cap(rows, 3)
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_pinned_components_stay(spark):
     from quernix.operators.splits import placements
 
